@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, substring_dedup
+from . import byte_bpe, language_id, line_dedup, pii, substring_dedup
 from ._common import table
 
 
@@ -14,13 +15,28 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.learn_and_identify(table(spark, sf_dir, "documents"))
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("keep_bitmap")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_byte_bpe": op7_byte_bpe,
     "op9_line_dedup": op9_line_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {}
