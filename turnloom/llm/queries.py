@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, language_id, line_dedup, pii, substring_dedup
+from . import byte_bpe, imatch, language_id, line_dedup, pii, substring_dedup
 from ._common import table
 
 
@@ -23,6 +23,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("keep_bitmap")
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_imatch": op8_imatch,
     "op9_line_dedup": op9_line_dedup,
     "op10_pii": op10_pii,
 }
