@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, imatch, language_id, line_dedup, pii, substring_dedup
+from . import byte_bpe, imatch, language_id, line_dedup, near_dup, pii, substring_dedup
 from ._common import table
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_dup": op3_near_dup,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
