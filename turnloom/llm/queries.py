@@ -6,15 +6,29 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, imatch, language_id, line_dedup, near_dup, pii, substring_dedup
+from . import byte_bpe, imatch, language_id, line_dedup, near_dup, packing, pii, substring_dedup, topk, warc
 from ._common import table
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.records_of_pages(table(spark, sf_dir, "pages"))
+    return warc.audit(records, warc.damaged_copy(records))
+
+
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
 
@@ -40,7 +54,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
+    "op2_warc_audit": op2_warc_audit,
     "op3_near_dup": op3_near_dup,
+    "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
@@ -49,4 +66,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+        ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+    "op2_warc_audit": """
+        WITH r AS (
+            SELECT page_id, 'pages-' || CAST(page_id // 256 AS VARCHAR) AS archive,
+                   'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || page_id || '>'
+                   || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8'
+                   || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+                   || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+            FROM pages
+        ), o AS (
+            SELECT *, sha256(record) AS digest, strlen(record) AS length,
+                   sum(strlen(record)) OVER (PARTITION BY archive ORDER BY page_id) - strlen(record) AS place
+            FROM r
+        )
+        SELECT archive, CAST(place AS BIGINT) AS "offset", CASE WHEN page_id % 211 = 5 THEN 'missing' ELSE 'corrupt' END AS status,
+               CAST(length AS BIGINT) AS expected_length, CASE WHEN page_id % 211 <> 5 THEN CAST(length AS BIGINT) END AS found_length, digest AS expected_digest,
+               CASE WHEN page_id % 211 <> 5 THEN sha256(record[1:4] || '~' || record[6:]) END AS found_digest
+        FROM o WHERE page_id % 97 = 13 OR page_id % 211 = 5
+    """,
+}
