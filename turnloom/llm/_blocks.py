@@ -21,13 +21,15 @@ ANSWER = "block int, payload binary"
 BLOCK_BYTES, RANGE_BYTES = 12 << 20, 8 << 20
 
 
-def deal(docs: DataFrame, item_bytes_per_text_byte: float) -> tuple[DataFrame, int]:
-    """Columns block, key, doc_id, text, and into how many ranges the hash space is to be cut."""
+def deal(docs: DataFrame, item_bytes_per_text_byte: float, carry: bool = False) -> tuple[DataFrame, int]:
+    """Columns block, key, doc_id, text, if asked for ``rest`` (a struct of all other columns), and into how many ranges
+    the hash space is to be cut.
+    """
     spark, size = docs.sparkSession, text_bytes(docs)
     least = shuffle_partitions(spark)
     n_blocks, n_ranges = blocks_for(size, BLOCK_BYTES, least), blocks_for(int(size * item_bytes_per_text_byte), RANGE_BYTES, least)
-    dealt = docs.select(document_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return dealt.select(F.pmod(F.xxhash64("key"), F.lit(n_blocks)).cast("int").alias("block"), "key", "doc_id", "text"), n_ranges
+    dealt = docs.select(document_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.struct(*(F.col(c) for c in docs.columns if c != "text")).alias("rest")] if carry else []))
+    return dealt.select(F.pmod(F.xxhash64("key"), F.lit(n_blocks)).cast("int").alias("block"), *dealt.columns), n_ranges
 
 
 def in_order(block: pa.Table) -> pa.Table:

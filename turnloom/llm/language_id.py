@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ._common import document_key
 
-PROFILE, SLICE = 300, 1 << 20
+PROFILE, SLICE, FARTHEST = 300, 1 << 20, 0.95
 _CODE_BITS = 23
 _CODES = (1 << _CODE_BITS) - 1
 _classes: list[np.ndarray] = []
@@ -194,6 +194,25 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str] =
     return out.select(*(F.col(f"_keep_{i}").alias(f"keep_{c}") for i, c in enumerate(kept)), "doc_id", "held_out", "lang_pred", "score", "distance")
 
 
+def accepted(docs: DataFrame, profiles: dict[str, list[int]], farthest: float = FARTHEST) -> DataFrame:
+    """The rows, all columns unchanged, whose text has letters and is no farther from the nearest language than
+    ``farthest`` of the largest distance. Without any profile, the rows that have letters.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, table = Profiles(profiles), char_classes()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            if model.names:
+                langs, _, far = model.predict(texts)
+                good = [x != "und" and f <= farthest for x, f in zip(langs, far)]
+            else:
+                good = [any(table[ord(c)] for c in t or "") for t in texts]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learn_and_identify(docs: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Profiles from the labelled rows that are not held out, then predictions for all rows."""
     return identify(docs, learn_profiles(docs.where(~held_out())), keep)

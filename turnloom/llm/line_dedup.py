@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ._blocks import ANSWER, PACKED, answers, deal, in_order, packed, received, unpacked
 from ._words import SPACES, buffers
@@ -77,7 +78,7 @@ def _decide(part: pa.Table, min_docs: int) -> pa.Table:
     return answers(part, out, rows[keep])
 
 
-def _apply(block: pa.Table, told: pa.Table, min_chars: int, with_text: bool) -> pa.Table:
+def _apply(block: pa.Table, told: pa.Table, min_chars: int, with_text: bool, carry: bool = False) -> pa.Table:
     block, drops = in_order(block), received(told, _DROP)
     both = np.stack((drops["h"], drops["h2"]), 1).astype(">u8").tobytes()
     keeper = {both[16 * i : 16 * i + 16]: key for i, key in enumerate(drops["key"].tolist())}
@@ -98,20 +99,33 @@ def _apply(block: pa.Table, told: pa.Table, min_chars: int, with_text: bool) ->
         if with_text:
             kept.append(out)
     columns = {"doc_id": block.column("doc_id"), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64()), "keep_bitmap": pa.array(maps, pa.binary()), "kept_sha256": pa.array(sums, pa.string())}
-    return pa.table(columns | ({"kept_text": pa.array(kept, pa.binary()).cast(pa.string()), "key": block.column("key")} if with_text else {}))
+    if carry:
+        none = block.column("text").is_null().to_pylist()
+        return pa.table({"rest": block.column("rest"), "text": pa.array([None if n else t for n, t in zip(none, kept)], pa.binary()).cast(pa.string())})
+    return pa.table(columns | ({"kept_text": pa.array(kept, pa.binary()).cast(pa.string())} if with_text else {}))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, keep_bitmap (zlib of one bit a line), kept_sha256 and, if asked
-    for, kept_text and the document's ordering key.
+    for, kept_text.
     """
     dealt, n_ranges = deal(docs, 0.3)
     by_block = dealt.groupBy("block")
     told = by_block.applyInArrow(lambda t: _send(t, min_chars, n_ranges), PACKED).groupBy("part").applyInArrow(lambda t: _decide(t, min_docs), ANSWER)
-    schema = "doc_id long, n_lines long, n_dropped long, keep_bitmap binary, kept_sha256 string" + ", kept_text string, key long" * with_text
+    schema = "doc_id long, n_lines long, n_dropped long, keep_bitmap binary, kept_sha256 string" + ", kept_text string" * with_text
     return by_block.cogroup(told.groupBy("block")).applyInArrow(lambda t, x: _apply(t, x, min_chars, with_text), schema)
 
 
+def without_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """The documents themselves, all columns in their order, with the kept lines as text; a null text stays null."""
+    dealt, n_ranges = deal(docs, 0.3, carry=True)
+    by_block = dealt.groupBy("block")
+    told = by_block.applyInArrow(lambda t: _send(t, min_chars, n_ranges), PACKED).groupBy("part").applyInArrow(lambda t: _decide(t, min_docs), ANSWER)
+    schema = f"rest {dealt.schema['rest'].dataType.simpleString()}, text string"
+    kept = by_block.cogroup(told.groupBy("block")).applyInArrow(lambda t, x: _apply(t, x, min_chars, True, True), schema)
+    return kept.select(*("text" if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns))
+
+
 def kept_lines(bitmap: bytes, n_lines: int) -> list[bool]:
     """Which lines a bitmap keeps."""
     return np.unpackbits(np.frombuffer(zlib.decompress(bitmap), np.uint8))[:n_lines].astype(bool).tolist()
