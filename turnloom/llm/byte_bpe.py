@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ._words import mix
 
-LONG, RUN, CACHE = 256, 1 << 16, 400_000
+LONG, RUN, CACHE = 256, 1 << 16, 800_000
 #: Characters of text encoded together.
 GROUP_CHARS = 1 << 20
 _NONE = np.int32(2**31 - 1)
@@ -142,10 +142,11 @@ class Encoder:
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Puts the ids of all pieces into the cache."""
-        new = [p for p in set(pieces) if p not in self.cache]
+        wanted = set(pieces)
+        new = [p for p in wanted if p not in self.cache]
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
-            new = list(set(pieces))
+            new = list(wanted)
         buckets: dict[int, list[tuple[str, bytes]]] = {}
         for p in new:
             raw = p.encode()
