@@ -154,7 +154,7 @@ def provider_summary(results: DataFrame) -> DataFrame:
 
 def suite_breakdown(results: DataFrame, providers: list[str] | None = None) -> DataFrame:
     """Passed of total for each suite and provider, providers as columns."""
-    cell = F.concat_ws("/", F.count_if("success"), F.count("*"))
+    cell = F.concat_ws("/", F.count_if("success"), F.count(F.lit(1)))
     grouped = results.groupBy("suite")
     return (grouped.pivot("provider", providers) if providers else grouped.pivot("provider")).agg(cell)
 

@@ -30,7 +30,7 @@ def durations(events: DataFrame) -> DataFrame:
     stop = F.max(F.when(~F.col("message").contains("session.start") & F.col("message").contains("session.stop"), at))
     lifecycle = events.where(F.col("message").contains("session.start") | F.col("message").contains("session.stop"))
     both = lifecycle.groupBy("session_id").agg(start.alias("a"), stop.alias("b")).where("a is not null and b is not null")
-    return both.select("session_id", (F.unix_millis("b") - F.unix_millis("a")).alias("duration_ms"))
+    return both.select("session_id", F.expr("(unix_micros(b) - unix_micros(a)) div 1000").alias("duration_ms"))
 
 
 def last_of(log: DataFrame, *fields: str) -> DataFrame:

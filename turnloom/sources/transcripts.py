@@ -47,7 +47,7 @@ def classify_call(block: Column) -> Column:
 def format_call(call: Column) -> Column:
     """A call as a tag with its input as compact JSON, keys in their own order."""
     server = F.when(call.mcp_server != "", F.concat(F.lit(' mcp_server="'), call.mcp_server, F.lit('"'))).otherwise("")
-    return F.concat(F.lit('<tool_call name="'), call.name, F.lit('" source="'), call.source, F.lit('"'), server, F.lit(">\n"), call.input, F.lit("\n</tool_call>"))
+    return F.concat(F.lit('<tool_call name="'), call["name"], F.lit('" source="'), call.source, F.lit('"'), server, F.lit(">\n"), call.input, F.lit("\n</tool_call>"))
 
 
 def _user(rec: DataFrame) -> DataFrame:
