@@ -56,7 +56,7 @@ def signatures(owner: np.ndarray, items: np.ndarray, weights: np.ndarray, n: int
 
 def bands(times: np.ndarray, n_bands: int) -> np.ndarray:
     """int64[n, n_bands]: a hash of each band's registers and its number."""
-    bits = times.view(np.uint64).reshape(len(times), n_bands, -1)
+    bits = times.view(np.uint64).reshape(len(times), n_bands, times.shape[1] // n_bands)
     out = np.repeat(mix(np.arange(1, n_bands + 1, dtype=np.uint64))[None], len(times), 0)
     for k in range(bits.shape[2]):
         out = mix(out * _STEP + bits[:, :, k])
