@@ -24,13 +24,14 @@ def log_softmax(logits: Column) -> Column:
 
 
 def acceptance_probability(tokens: Column, draft: Column, target: Column) -> Column:
-    """min(1, exp(target - draft)) of each draft token's log-probabilities; a token outside either vocabulary has none (probability 0)."""
+    """min(1, exp(target - draft)) of each draft token's log-probabilities; an infinite ratio, or a token outside a vocabulary, counts as 0."""
     n = F.greatest(F.least(F.size(tokens), F.size(draft), F.size(target)), F.lit(0))
 
     def one(i: Column) -> Column:
         token = F.try_element_at(tokens, i)
         t, d = F.try_element_at(F.try_element_at(target, i), token + 1), F.try_element_at(F.try_element_at(draft, i), token + 1)
-        return F.coalesce(F.when(t == F.lit(float("-inf")), 0.0).otherwise(F.least(F.lit(1.0), F.exp(t - d))), F.lit(0.0))
+        ratio = t - d
+        return F.when(ratio.isNotNull() & (F.abs(ratio) < F.lit(float("inf"))), F.least(F.lit(1.0), F.exp(ratio))).otherwise(0.0)
 
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), one)).otherwise(F.array().cast("array<double>"))
 

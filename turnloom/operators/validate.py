@@ -17,11 +17,11 @@ def structure_errors(msgs: Column) -> Column:
         m = F.try_element_at(msgs, i + 1)
         side, before = m["from"], F.try_element_at(msgs, F.greatest(i, F.lit(1)))["from"]
         where = F.concat(F.lit("message "), i.cast("string"), F.lit(": "))
-        want = F.when(before == "human", "gpt").otherwise("human")
+        want = F.when(before == "human", "gpt").when(before.isin("gpt", "system"), "human")
         return F.array_compact(F.array(
             F.when(~F.coalesce(side.isin("system", "human", "gpt"), F.lit(False)), F.concat(where, F.lit("invalid from"))),
             F.when(F.coalesce(strip(m.value), F.lit("")) == "", F.concat(where, F.lit("empty value"))),
-            F.when((i > 0) & F.coalesce(side.isin("human", "gpt"), F.lit(False)) & (side != want), F.concat(where, F.lit("expected "), want)),
+            F.when((i > 0) & want.isNotNull() & (F.coalesce(side, F.lit("")) != want), F.concat(where, F.lit("expected "), want)),
         ))
 
     each = F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), of))

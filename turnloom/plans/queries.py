@@ -93,7 +93,7 @@ def q04_merge_alternate(spark: SparkSession, sf_dir: str) -> DataFrame:
     p AS (SELECT *, lag(side) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM m),
     e AS (SELECT conv_id, n,
                  (pos = 1 AND side <> 'system')::INT + (pos = n AND side <> 'gpt')::INT + (trim(text) = '')::INT
-                 + (pos > 1 AND side IN ('human', 'gpt') AND side <> CASE WHEN before = 'human' THEN 'gpt' ELSE 'human' END)::INT AS bad FROM p)
+                 + (pos > 1 AND side <> CASE WHEN before = 'human' THEN 'gpt' ELSE 'human' END)::INT AS bad FROM p)
     SELECT conv_id, CAST(CASE WHEN max(n) < 2 THEN 1 ELSE sum(bad) END AS INTEGER) AS n_errors FROM e GROUP BY conv_id
 """)
 def q05_structure_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
