@@ -45,8 +45,8 @@ def with_ordinal(df: DataFrame, group: str, *order: str) -> DataFrame:
 
 def head_split(df: DataFrame, share: int = 20) -> DataFrame:
     """``split`` = val for the first max(1, n div share) rows by ``ordinal``, train for the rest; no random choice."""
-    n = df.agg(F.count("*").alias("_n"))
-    return df.crossJoin(F.broadcast(n)).withColumn("split", F.when(F.col("ordinal") < F.greatest(F.lit(1), F.floor(F.col("_n") / share)), "val").otherwise("train")).drop("_n")
+    n = df.count()
+    return df.withColumn("split", F.when(F.col("ordinal") < max(1, n // share), "val").otherwise("train"))
 
 
 def session_split(df: DataFrame, session: str, share: int = 20) -> DataFrame:

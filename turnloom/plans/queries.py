@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import floor_round
-from ..operators import audit, chat, chunks, evals, preference, quality, score, scrub, select, snapshot, stats, synth, tool_text, validate
+from ..operators import audit, chat, chunks, evals, policies, preference, quality, score, scrub, select, snapshot, stats, synth, tool_text, validate
 from ..sources import transcripts
 from ..streaming import patrol
 
@@ -532,3 +532,49 @@ def q37_chat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompts = spark.createDataFrame([("mayor", "You coordinate.")], "role string, prompt string")
     made = chat.format_samples(chat.with_prompts(rows, prompts))
     return made.select(F.col("metadata.session_id").cast("long").alias("conv_id"), F.size("conversations").alias("n_messages"))
+
+
+@query("""
+    WITH s AS (SELECT doc_id, quality::DOUBLE AS quality_score, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE (doc_id % 10) / 10 END AS outcome_score FROM labels)
+    SELECT doc_id, quality_score * coalesce(outcome_score, 1) AS quality_score, outcome_score FROM s WHERE outcome_score IS NULL OR outcome_score >= 0.3
+""")
+def q38_score_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality_score"))
+    scores = labels.where("doc_id % 5 <> 0").select("doc_id", ((F.col("doc_id") % 10) / 10).alias("outcome_score"))
+    scored = policies.apply_scores(labels, scores, "doc_id")
+    return policies.apply_policy(policies.apply_policy(scored, "exclude_below", 0.3), "downweight")
+
+
+@query("""
+    WITH o AS (SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars, doc_id) AS place FROM documents),
+    r AS (SELECT doc_id, row_number() OVER (ORDER BY sha256('42:' || doc_id)) AS place FROM o WHERE place > 50)
+    SELECT doc_id, 'review' AS kind FROM o WHERE place <= 50 UNION ALL SELECT doc_id, 'calibration' FROM r WHERE place <= 10
+""")
+def q39_review_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return policies.review_batch(_table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id", "n_chars").select("doc_id", "kind")
+
+
+@query("""
+    SELECT event_id, quantile_cont(value, 0.5) OVER (PARTITION BY event_type) AS median FROM events
+""")
+def q40_group_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return policies.against_median(_table(spark, sf_dir, "events"), "event_type", "value").select("event_id", "median")
+
+
+@query("""
+    WITH f AS (SELECT 'p' || user_id AS prompt, min(event_id) AS id FROM events GROUP BY 1)
+    SELECT prompt, id, CASE WHEN CAST('0x' || sha256('42:' || prompt)[1:8] AS BIGINT) % 10 = 0 THEN 'val' ELSE 'train' END AS split FROM f
+""")
+def q41_distinct_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _table(spark, sf_dir, "events").select(F.concat(F.lit("p"), F.col("user_id").cast("string")).alias("prompt"), F.col("event_id").alias("id"))
+    return policies.distinct_pairs(pairs)
+
+
+@query("""
+    SELECT conv_id, CAST(count(*) FILTER (role = 'user') AS INTEGER) AS n_user, coalesce(arg_min(text, turn) FILTER (role = 'user'), '') AS first_user, 'unknown' AS role FROM conversations GROUP BY conv_id
+""")
+def q42_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import roles
+
+    first = roles.first_user_text(F.col("turns"))
+    return _turns(spark, sf_dir).select("conv_id", F.size(F.filter("turns", lambda t: t.role == "user")).alias("n_user"), first.alias("first_user"), roles.tag_role(F.lit("-home"), first).alias("role"))
