@@ -96,4 +96,38 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id % 211 <> 5 THEN sha256(record[1:4] || '~' || record[6:]) END AS found_digest
         FROM o WHERE page_id % 97 = 13 OR page_id % 211 = 5
     """,
+    "op5_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        x AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+        k AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM x),
+        f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM k),
+        g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM f WHERE r > 1),
+        p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+        a AS (
+            SELECT p.doc_id, count(*) AS n, count(g.j) AS gone, sha256(coalesce(string_agg(word, ' ' ORDER BY p.j) FILTER (g.j IS NULL), '')) AS kept
+            FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.j = g.j GROUP BY p.doc_id
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(gone, 0) AS n_removed, coalesce(kept, sha256('')) AS kept_sha256 FROM d LEFT JOIN a ON d.doc_id = a.doc_id
+    """,
+    "op9_line_dedup": """
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+        l AS (SELECT doc_id, unnest(w) AS line, unnest(range(1, len(w) + 1)) AS j FROM d),
+        k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        h AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        m AS (SELECT k.*, coalesce(h.keeper <> k.doc_id, false) AS gone FROM k LEFT JOIN h ON k.key = h.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY j) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
+    """,
+    "op3_near_dup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END AS sh FROM w WHERE len(w) > 0),
+        c AS (SELECT doc_id, unnest(sh) AS x FROM s),
+        m AS (SELECT doc_id, x, count(*) AS n FROM c GROUP BY doc_id, x),
+        t AS (SELECT doc_id, sum(n) AS total FROM m GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS low FROM m a JOIN m b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        l AS (SELECT a, b FROM p JOIN t ta ON ta.doc_id = a JOIN t tb ON tb.doc_id = b WHERE low / (ta.total + tb.total - low) >= 0.8::DOUBLE),
+        e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+        r(node, reach) AS (SELECT a, b FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.reach = e.a),
+        k AS (SELECT node, min(reach) AS low FROM r GROUP BY node)
+        SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, least(doc_id, coalesce(low, doc_id)) = doc_id AS is_first FROM documents LEFT JOIN k ON node = doc_id
+    """,
 }
