@@ -5,13 +5,14 @@ a shorter one is one shingle. Texts with the same words are one class at once. O
 bands; documents that share a band are candidates, and a candidate pair is a link if the exact multiset similarity is
 at least ``SIMILARITY``. Classes are the connected components of the links.
 
-How candidates are found without all pairs of a bucket: every member is compared with the smallest member of its
-bucket; buckets of at most ``SMALL`` members are compared in full. Where a larger bucket then still has members outside
-the class of its smallest one, those are compared with all its members, block by block, by their signatures, and
-pairs of different classes that are estimated near are verified. So no bucket is cut short, and copies cost one row each.
+How candidates are found without all pairs of a bucket: buckets of at most ``SMALL`` members are compared in full. In a
+larger one every member is compared with the smallest member, its pivot, and keeps the items in which they differ.
+Where a pivot then has members outside its class, these are compared with its other members, chunk by chunk and
+exactly, from the items in which both differ from the pivot; only links between different classes become rows. So no
+bucket is cut short, and copies cost one row each.
 
-With 32 bands of 5 registers a pair at similarity 0.8 shares no band with a chance of 3e-6, and is estimated under
-``ESTIMATE`` with about 1e-6.
+With 32 bands of 5 registers a pair at similarity 0.8 shares no band with a chance of 3e-6; one of a small bucket is
+estimated under ``ESTIMATE``, and then not verified, with about 1e-6.
 
 Defined results. Null text and text without words: alone in its class. Null doc_id: its key is a hash of the text above all
 ids. Rows of one doc_id are one document for the classes. class_id is the smallest key of the class.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _words
@@ -33,7 +34,7 @@ from .components import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
-SMALL, CHUNK, ESTIMATE = 16, 256, 0.65
+SMALL, CHUNK, ESTIMATE = 16, 2048, 0.65
 _GROUP_BYTES = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -158,32 +159,82 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "b").join(two, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+_COMPARED = "a long, b long, n_a int, lost int, n_b int, apart binary"
+
+
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """For pivots a and members b: sizes of both multisets, how many of a's items b lacks, and the items that only one of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[int | None, np.ndarray] = (None, np.zeros(0, np.uint64))
+        for batch in batches:
+            rows = []
+            for i, key in enumerate(batch.column("a").to_pylist()):
+                if key != last[0]:
+                    last = (key, _as_set(shingles(batch.column("ta").slice(i, 1))[0]))
+                one, two = last[1], _as_set(shingles(batch.column("tb").slice(i, 1))[0])
+                lost, added = np.setdiff1d(one, two, True), np.setdiff1d(two, one, True)
+                rows.append((len(one), len(lost), len(two), np.concatenate((lost, added)).tobytes()))
+            columns = list(zip(*rows)) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(c, pa.int32()) for c in columns[:3]), pa.array(columns[3], pa.binary())], ["a", "b", "n_a", "lost", "n_b", "apart"])
+
+    one = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
+    two = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
+    return pairs.join(one, "b").join(two, "a").select("a", "b", "ta", "tb").mapInArrow(run, _COMPARED)
+
+
+def _similarity_to_pivot() -> Column:
+    """Of rows of _COMPARED."""
+    both = F.col("n_a") - F.col("lost")
+    return both / (F.col("lost") + F.col("n_b"))
+
+
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Members of buckets packed into chunks: band, chunk, keys, components, registers."""
-    schema = "band long, chunk int, keys binary, components binary, registers binary"
+    """Members of a pivot's group packed into chunks: a, chunk, n_a, and arrays of keys, components, lost, sizes, items and their counts."""
+    schema = "a long, chunk int, n_a int, keys binary, components binary, lost binary, sizes binary, counts binary, items binary"
 
     def run(t: pa.Table) -> pa.Table:
+        whole = lambda c, kind: pa.array([t.column(c).to_numpy().astype(kind).tobytes()], pa.binary())
+        apart = t.column("apart").to_pylist()
         return pa.table({
-            "band": t.column("band").slice(0, 1), "chunk": t.column("chunk").slice(0, 1),
-            "keys": pa.array([t.column("key").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "components": pa.array([t.column("component").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "registers": pa.array([b"".join(t.column("registers").to_pylist())], pa.binary()),
+            "a": t.column("a").slice(0, 1), "chunk": t.column("chunk").slice(0, 1), "n_a": t.column("n_a").slice(0, 1), "keys": whole("b", "<i8"), "components": whole("component", "<i8"), "lost": whole("lost", "<i8"), "sizes": whole("n_b", "<i8"),
+            "counts": pa.array([np.array([len(x) // 8 for x in apart], "<i8").tobytes()], pa.binary()), "items": pa.array([b"".join(apart)], pa.binary()),
         })
 
-    return rows.select("band", "chunk", "key", "component", "registers").groupBy("band", "chunk").applyInArrow(run, schema)
+    return rows.select("a", "chunk", "n_a", "b", "component", "lost", "n_b", "apart").groupBy("a", "chunk").applyInArrow(run, schema)
+
+
+_PARTS = ("keys", "components", "lost", "sizes", "counts", "items")
+
 
+def _across(similarity: float):
+    """Links between members of two chunks that are of different components.
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near pairs of different components between two chunks."""
-    n = BANDS * ROWS
-    for batch in batches:
-        for row in batch.to_pylist():
-            (ka, ca, ra), (kb, cb, rb) = ((np.frombuffer(row[f"{s}keys"], "<i8"), np.frombuffer(row[f"{s}components"], "<i8"), np.frombuffer(row[f"{s}registers"], "<u2").reshape(-1, n)) for s in ("", "o_"))
-            for k, c, r in zip(ka, ca, ra):
-                hit = ((rb == r).sum(axis=1) >= ESTIMATE * n) & (cb != c)
-                if hit.any():
-                    other = kb[hit]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, k)), pa.array(np.maximum(other, k))], ["a", "b"])
+    Both differ from one pivot in known items, so their common part follows from how many of these items they share,
+    which is counted for all members of the other chunk at once in an index of its items.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                mine, other = (dict(zip(_PARTS, (np.frombuffer(row[f"{s}{c}"], "<u8" if c == "items" else "<i8") for c in _PARTS))) for s in ("", "o_"))
+                owner = np.repeat(np.arange(len(other["keys"])), other["counts"])
+                order = np.argsort(other["items"], kind="stable")
+                items, owner = other["items"][order], owner[order]
+                bounds = np.concatenate(([0], np.cumsum(mine["counts"])))
+                for i in range(len(mine["keys"])):
+                    own = mine["items"][bounds[i] : bounds[i + 1]]
+                    lo, hi = np.searchsorted(items, own, "left"), np.searchsorted(items, own, "right")
+                    n = hi - lo
+                    at = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                    shared = np.bincount(owner[at], minlength=len(other["keys"]))
+                    both = row["n_a"] - mine["lost"][i] - other["lost"] + shared
+                    near = (both >= similarity * (mine["sizes"][i] + other["sizes"] - both)) & (other["components"] != mine["components"][i])
+                    if near.any():
+                        to = other["keys"][near]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(to, mine["keys"][i])), pa.array(np.maximum(to, mine["keys"][i]))], ["a", "b"])
+
+    return run
 
 
 def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -198,29 +249,30 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     exploded = distinct.select("key", F.explode("bands").alias("band"))
     sizes = exploded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).where("n > 1")
     members = exploded.join(sizes, "band").checkpoint()
-    stars = members.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))
-    small = members.where((F.col("n") > 2) & (F.col("n") <= SMALL))
-    within = small.select("band", F.col("key").alias("a")).join(small.select("band", F.col("key").alias("b")), "band").where("a < b").select("a", "b")
+    pairs_of = lambda rows: rows.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+    small = members.where(F.col("n") <= SMALL)
+    within = small.where("n > 2").select("band", F.col("key").alias("a")).join(small.where("n > 2").select("band", F.col("key").alias("b")), "band").where("a < b").select("a", "b")
     own = texts.join(distinct.select("key"), "key", "left_semi")
-    links = _verified(_near(stars.unionByName(within).distinct(), distinct), own, similarity).checkpoint()
+    stars = pairs_of(members.where(F.col("n") > SMALL)).distinct()
+    compared = _compared(stars, own).withColumn("similarity", _similarity_to_pivot()).checkpoint()
+    found = _verified(_near(pairs_of(small).unionByName(within).distinct(), distinct), own, similarity)
+    links = found.unionByName(compared.where(F.col("similarity") >= similarity).select("a", "b")).checkpoint()
     labels = connected_components(links)
 
-    # larger buckets that hold several classes: the members outside the class of the smallest against all
-    large = members.where(F.col("n") > SMALL).join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    pivots = large.where("key = pivot").select("band", F.col("component").alias("main"))
-    large = large.join(pivots, "band").withColumn("outside", F.col("component") != F.col("main"))
-    mixed = large.groupBy("band").agg(F.max("outside").alias("mixed")).where("mixed").select("band")
-    open_members = large.join(mixed, "band").join(distinct.select("key", "registers"), "key").checkpoint()
-    if open_members.limit(1).count():
-        chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
-        chunked = open_members.withColumn("chunk", F.pmod(F.xxhash64("key"), chunks).cast("int"))
-        blocks = _blocks(chunked)
-        asking = chunked.where("outside").join(chunked.select("band", "n").distinct().select("band", F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks")), "band")
-        counts = asking.select("band", "chunks").distinct()
-        asked = _blocks(chunked.where("outside")).join(counts, "band").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        others = blocks.select("band", F.col("chunk").alias("meets"), *(F.col(c).alias(f"o_{c}") for c in ("keys", "components", "registers")))
-        more = asked.join(others, ["band", "meets"]).select("keys", "components", "registers", "o_keys", "o_components", "o_registers").mapInArrow(_across, "a long, b long").distinct()
-        links = links.unionByName(_verified(more, own, similarity)).checkpoint()
+    # where members of a larger bucket are outside the class of its smallest: these against all that can be near them
+    of = lambda side, name: labels.select(F.col("node").alias(side), F.col("component").alias(name))
+    groups = compared.join(of("b", "component"), "b", "left").join(of("a", "main"), "a", "left").withColumn("component", F.coalesce("component", "b")).withColumn("outside", F.col("component") != F.coalesce("main", "a"))
+    mixed = groups.where("outside").groupBy("a").agg(F.max("similarity").alias("nearest"))
+    # distances obey the triangle inequality: a link reaches members at most 1 - similarity nearer to the pivot
+    reach = F.col("outside") | (F.col("similarity") <= F.col("nearest") + (1 - similarity) + 1e-9)
+    open_groups = groups.join(mixed, "a").where(reach).checkpoint()
+    if open_groups.limit(1).count():
+        chunks = open_groups.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks"))
+        chunked = open_groups.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
+        others = _blocks(chunked).select("a", F.col("chunk").alias("meets"), *(F.col(c).alias(f"o_{c}") for c in _PARTS))
+        asked = _blocks(chunked.where("outside")).join(chunks, "a").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        more = asked.join(others, ["a", "meets"]).select("n_a", *_PARTS, *(f"o_{c}" for c in _PARTS)).mapInArrow(_across(similarity), "a long, b long").distinct()
+        links = links.unionByName(more).checkpoint()
         labels = connected_components(links)
     return copies.join(labels.withColumnRenamed("node", "first"), "first", "left").groupBy("key").agg(F.min(F.coalesce("component", "first")).alias("class_id"))
 
