@@ -34,7 +34,7 @@ from .components import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
-SMALL, CHUNK, ESTIMATE = 16, 2048, 0.65
+SMALL, CHUNK, CHUNK_BYTES, ESTIMATE = 16, 2048, 4 << 20, 0.65
 _GROUP_BYTES = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -267,7 +267,8 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     reach = F.col("outside") | (F.col("similarity") <= F.col("nearest") + (1 - similarity) + 1e-9)
     open_groups = groups.join(mixed, "a").where(reach).checkpoint()
     if open_groups.limit(1).count():
-        chunks = open_groups.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CHUNK)).cast("int").alias("chunks"))
+        size = F.greatest(F.ceil(F.count("*") / F.lit(CHUNK)), F.ceil(F.sum(F.octet_length("apart")) / F.lit(CHUNK_BYTES)))
+        chunks = open_groups.groupBy("a").agg(size.cast("int").alias("chunks"))
         chunked = open_groups.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
         others = _blocks(chunked).select("a", F.col("chunk").alias("meets"), *(F.col(c).alias(f"o_{c}") for c in _PARTS))
         asked = _blocks(chunked.where("outside")).join(chunks, "a").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
