@@ -102,10 +102,13 @@ def _up(nodes: DataFrame) -> DataFrame:
 
 
 def merkle_levels(records: DataFrame, archive_levels: int, name_levels: int) -> list[DataFrame]:
-    """From the leaves to the root, each (node, parent, hash); the last has the one node ''."""
+    """From the leaves to the root, each (node, parent, hash); the last has the one node ''. Levels are few against the
+    records; each is kept, so that none above it goes back to the records.
+    """
+    with_checkpoints(records.sparkSession)
     keyed = records.withColumn("range", F.floor(F.col("offset") / RANGE_BYTES).cast("long"))
     rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "length", "digest"))), lambda r: F.concat_ws(":", r.offset, r.length, r.digest)), "\n")
-    level = keyed.groupBy("archive", "range").agg(F.sha2(rows, 256).alias("hash"))
+    level = keyed.groupBy("archive", "range").agg(F.sha2(rows, 256).alias("hash")).checkpoint()
 
     def named(df: DataFrame, height: int) -> DataFrame:
         return df.withColumn("node", F.concat_ws("|", "archive", F.lit(height), "range"))
@@ -116,12 +119,12 @@ def merkle_levels(records: DataFrame, archive_levels: int, name_levels: int) ->
         now = named(level, height).withColumn("above", up).withColumn("parent", F.concat_ws("|", "archive", F.lit(height + 1), "above"))
         levels.append(now.select("node", "parent", "hash"))
         listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("range", "hash"))), lambda c: F.concat(c["range"], F.lit(":"), c.hash)), "\n")
-        level = now.groupBy("archive", F.col("above").alias("range")).agg(F.sha2(listed, 256).alias("hash"))
+        level = now.groupBy("archive", F.col("above").alias("range")).agg(F.sha2(listed, 256).alias("hash")).checkpoint()
     digits = F.sha2("archive", 256)
     top = named(level, archive_levels).select("node", F.substring(digits, 1, name_levels).alias("parent"), F.col("archive").alias("place"), "hash")
     levels.append(top.select("node", "parent", "hash"))
     for depth in range(name_levels, 0, -1):
-        top = _up(top).select(F.col("parent").alias("node"), F.substring("parent", 1, depth - 1).alias("parent"), F.col("parent").alias("place"), "hash")
+        top = _up(top).select(F.col("parent").alias("node"), F.substring("parent", 1, depth - 1).alias("parent"), F.col("parent").alias("place"), "hash").checkpoint()
         levels.append(top.select("node", "parent", "hash"))
     levels.append(_up(top).select(F.col("parent").alias("node"), F.lit(None).cast("string").alias("parent"), "hash"))
     return levels
@@ -141,15 +144,12 @@ def audit(expected: DataFrame, found: DataFrame) -> DataFrame:
     archive_levels = max(1, math.ceil(math.log2(far // RANGE_BYTES + 1) / FANOUT_BITS))
     name_levels = max(0, math.ceil(math.log2(max(1, archives)) / FANOUT_BITS) - 1)
     trees = [merkle_levels(x, archive_levels, name_levels) for x in sides]
-    # leaves and inner nodes are few against the records; they are kept, so that each level is compared without a new pass
-    trees = [[trees[s][0].checkpoint(), *trees[s][1:]] for s in (0, 1)]
     wrong = None
     for mine, theirs in zip(reversed(trees[0]), reversed(trees[1])):
         if wrong is not None:
             mine, theirs = (x.join(wrong, x.parent == wrong.wrong, "left_semi") for x in (mine, theirs))
         m, t = mine.select("node", F.col("hash").alias("h1")), theirs.select("node", F.col("hash").alias("h2"))
-        wrong = m.join(t, "node", "full_outer").where(~F.col("h1").eqNullSafe(F.col("h2"))).select(F.col("node").alias("wrong"))
-    wrong = wrong.checkpoint()
+        wrong = m.join(t, "node", "full_outer").where(~F.col("h1").eqNullSafe(F.col("h2"))).select(F.col("node").alias("wrong")).checkpoint()
     leaf = F.concat_ws("|", "archive", F.lit(0), F.floor(F.col("offset") / RANGE_BYTES).cast("long"))
 
     def at_offsets(side: DataFrame, name: str) -> DataFrame:
