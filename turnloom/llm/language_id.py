@@ -17,12 +17,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import document_key
 
-PROFILE, SLICE, FARTHEST = 300, 1 << 20, 0.95
+PROFILE, SLICE, GROUP_BYTES, FARTHEST = 300, 1 << 19, 1 << 20, 0.95
 _CODE_BITS = 23
 _CODES = (1 << _CODE_BITS) - 1
 _classes: list[np.ndarray] = []
@@ -104,6 +105,15 @@ def _document_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return (keys[0], counts[0]) if len(keys) == 1 else _counted(np.concatenate(keys), np.concatenate(counts))
 
 
+def _ranges(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of runs of texts of about ``GROUP_BYTES`` together, so that the arrays made of them stay small."""
+    ends, a = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + GROUP_BYTES, "right")))
+        yield a, b - a
+        a = b
+
+
 def learn_profiles(labelled: DataFrame, profile: int = PROFILE) -> dict[str, list[int]]:
     """The codes of each language's most frequent n-grams, most frequent first (ties: smaller code), from columns text and
     lang of all rows; null languages are left out. Only languages x ``profile`` codes come to the driver.
@@ -112,11 +122,15 @@ def learn_profiles(labelled: DataFrame, profile: int = PROFILE) -> dict[str, lis
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            keys, counts = _document_counts(batch.column("text").to_pylist())
             names = sorted(set(langs))
-            number = np.array([names.index(x) for x in langs], np.int64)
-            keys, counts = _counted(number[keys >> _CODE_BITS] << _CODE_BITS | keys & _CODES, counts) if len(keys) else (keys, counts)
-            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in (keys >> _CODE_BITS).tolist()], pa.string()), pa.array(keys & _CODES), pa.array(counts.astype(np.int64))], ["lang", "code", "n"])
+            place = {x: i for i, x in enumerate(names)}
+            number, total = np.array([place[x] for x in langs], np.int64), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            for start, n in _ranges(batch.column("text")):
+                keys, counts = _document_counts(batch.column("text").slice(start, n).to_pylist())
+                keys = number[start + (keys >> _CODE_BITS)] << _CODE_BITS | keys & _CODES
+                total = _counted(np.concatenate((total[0], keys)), np.concatenate((total[1], counts)))
+            keys, counts = total
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(keys >> _CODE_BITS)), pa.array(keys & _CODES), pa.array(counts.astype(np.int64))], ["lang", "code", "n"])
 
     rows = labelled.select("text", "lang").where("lang is not null").mapInArrow(count, "lang string, code long, n long")
     ranked = rows.groupBy("lang", "code").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code")))
@@ -136,6 +150,14 @@ class Profiles:
         for k, name in enumerate(self.names):
             self.ranks[np.searchsorted(self.codes, np.array(profiles[name], np.int64)), k] = np.arange(len(profiles[name]))
 
+    def predict_column(self, column: pa.Array) -> tuple[list[str], list[float], list[float]]:
+        """``predict`` for a column of any size, some texts at a time."""
+        out: tuple[list[str], list[float], list[float]] = ([], [], [])
+        for start, n in _ranges(column):
+            for whole, part in zip(out, self.predict(column.slice(start, n).to_pylist())):
+                whole += part
+        return out
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
         """Names, scores, and distances to the nearest as a share of the largest possible."""
         keys, counts = _document_counts(texts)
@@ -184,7 +206,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(profiles)
         for batch in batches:
-            langs, scores, far = model.predict(batch.column("_text").to_pylist())
+            langs, scores, far = model.predict_column(batch.column("_text"))
             others = [c for c in batch.schema.names if c != "_text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(far, pa.float64())], [*others, "lang_pred", "score", "distance"])
 
@@ -202,12 +224,11 @@ def accepted(docs: DataFrame, profiles: dict[str, list[int]], farthest: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, table = Profiles(profiles), char_classes()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             if model.names:
-                langs, _, far = model.predict(texts)
+                langs, _, far = model.predict_column(batch.column("text"))
                 good = [x != "und" and f <= farthest for x, f in zip(langs, far)]
             else:
-                good = [any(table[ord(c)] for c in t or "") for t in texts]
+                good = [any(table[ord(c)] for c in t or "") for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
