@@ -528,7 +528,7 @@ def q36_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q37_chat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations through prompts, formatting and the filter for both sides."""
     none = F.lit(None)
-    rows = _turns(spark, sf_dir).select("turns", F.lit("crew").alias("role"), F.col("conv_id").cast("string").alias("session_id"), F.lit(0).alias("chunk_index"), F.lit(0.5).alias("quality_score"), F.lit("claudecode").alias("runtime_type"), F.array().cast("array<string>").alias("mcp_servers"), none.cast("double").alias("outcome_score"))
+    rows = _turns(spark, sf_dir).select("turns", F.when(F.col("conv_id") % 2 == 0, "crew").otherwise("mayor").alias("role"), F.col("conv_id").cast("string").alias("session_id"), F.lit(0).alias("chunk_index"), F.lit(0.5).alias("quality_score"), F.lit("claudecode").alias("runtime_type"), F.array().cast("array<string>").alias("mcp_servers"), none.cast("double").alias("outcome_score"))
     prompts = spark.createDataFrame([("mayor", "You coordinate.")], "role string, prompt string")
     made = chat.format_samples(chat.with_prompts(rows, prompts))
     return made.select(F.col("metadata.session_id").cast("long").alias("conv_id"), F.size("conversations").alias("n_messages"))
