@@ -8,8 +8,8 @@ at least ``SIMILARITY``. Classes are the connected components of the links.
 How candidates are found without all pairs of a bucket: buckets of at most ``SMALL`` members are compared in full. In a
 larger one every member is compared with the smallest member, its pivot, and keeps the items in which they differ.
 Where a pivot then has members outside its class, these are compared with its other members, chunk by chunk and
-exactly, from the items in which both differ from the pivot; only links between different classes become rows. So no
-bucket is cut short, and copies cost one row each.
+exactly, from the items in which both differ from the pivot; a row is made for each member and other class it is linked
+to, not for each pair. So no bucket is cut short, and copies cost one row each.
 
 With 32 bands of 5 registers a pair at similarity 0.8 shares no band with a chance of 3e-6; one of a small bucket is
 estimated under ``ESTIMATE``, and then not verified, with about 1e-6.
@@ -208,7 +208,7 @@ _PARTS = ("keys", "components", "lost", "sizes", "counts", "items")
 
 
 def _across(similarity: float):
-    """Links between members of two chunks that are of different components.
+    """Pairs of components that a link between members of two chunks joins; one row for each member and other component.
 
     Both differ from one pivot in known items, so their common part follows from how many of these items they share,
     which is counted for all members of the other chunk at once in an index of its items.
@@ -231,8 +231,9 @@ def _across(similarity: float):
                     both = row["n_a"] - mine["lost"][i] - other["lost"] + shared
                     near = (both >= similarity * (mine["sizes"][i] + other["sizes"] - both)) & (other["components"] != mine["components"][i])
                     if near.any():
-                        to = other["keys"][near]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(to, mine["keys"][i])), pa.array(np.maximum(to, mine["keys"][i]))], ["a", "b"])
+                        to = np.unique(other["components"][near])
+                        own = mine["components"][i]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(to, own)), pa.array(np.maximum(to, own))], ["a", "b"])
 
     return run
 
@@ -273,8 +274,10 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
         others = _blocks(chunked).select("a", F.col("chunk").alias("meets"), *(F.col(c).alias(f"o_{c}") for c in _PARTS))
         asked = _blocks(chunked.where("outside")).join(chunks, "a").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         more = asked.join(others, ["a", "meets"]).select("n_a", *_PARTS, *(f"o_{c}" for c in _PARTS)).mapInArrow(_across(similarity), "a long, b long").distinct()
-        links = links.unionByName(more).checkpoint()
-        labels = connected_components(links)
+        # the graph of components is small: only what these links join gets a new label
+        joined = connected_components(more).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        known = copies.where("key = first").select(F.col("key").alias("node")).join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labels = known.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
     return copies.join(labels.withColumnRenamed("node", "first"), "first", "left").groupBy("key").agg(F.min(F.coalesce("component", "first")).alias("class_id"))
 
 
