@@ -18,8 +18,8 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or far from every language, go."""
-    return language_id.accepted(docs, language_id.learn_profiles(docs.where(~language_id.held_out())))
+    """Documents without letters, or farther from every language than its own documents lie, go."""
+    return language_id.accepted(docs, *language_id.learn_profiles_and_limits(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,3 +187,30 @@ def test_trees_learn_and_calibrate():
 def test_long_texts_take_linear_time():
     text = "1" * 100_000 + ".2" * 50_000 + "@" * 1000 + "a" * 100_000 + "=" * 10_000
     assert pii.base_spans(text) is not None and pii.candidates(text) is not None
+
+
+FOREIGN = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "base64": base64.b64encode(random.Random(1).randbytes(4000)).decode(), "hex": random.Random(2).randbytes(3000).hex(),
+    "letters": " ".join("".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=6)) for i in range(300)),
+    "no vowels": " ".join("".join(random.Random(i).choices("bcdfghjklmnpqrstvwxz", k=6)) for i in range(300)),
+}
+
+
+def test_texts_unlike_the_labelled_documents_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    names = list(FOREIGN)
+    more = [(-1 - i, FOREIGN[x], None) for i, x in enumerate(names)] + [(-100, "That it.", None), (-101, "Von.", None), (-102, "The cat is here.", None)]
+    every = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    profiles, limits = language_id.learn_profiles_and_limits(every)
+    assert sorted(limits) == sorted(profiles) == ["de", "en", "es", "fr"]
+    kept = {r.doc_id for r in language_id.accepted(every, profiles, limits).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.collect()} | {-100, -101, -102}
+
+
+def test_languages_of_few_documents_have_no_limit(spark):
+    few = [(i, f"the cat and the dog {'and so on ' * i}", "en") for i in range(30)] + [(100 + i, "ξένο κείμενο", "el") for i in range(3)]
+    profiles, limits = language_id.learn_profiles_and_limits(spark.createDataFrame(few, "doc_id long, text string, lang string"))
+    assert set(limits) == {"en"} and 0 < limits["en"] < language_id.FARTHEST
+    assert language_id.learn_profiles_and_limits(spark.createDataFrame([], "doc_id long, text string, lang string")) == ({}, {})

@@ -13,6 +13,8 @@ languages over the second distance; with one language, one minus the distance ov
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from ._common import document_key
 
 PROFILE, SLICE, GROUP_BYTES, FARTHEST = 300, 1 << 19, 1 << 20, 0.95
+STEPS, LEAST = 1000, 10
 _CODE_BITS = 23
 _CODES = (1 << _CODE_BITS) - 1
 _classes: list[np.ndarray] = []
@@ -114,32 +117,80 @@ def _ranges(column: pa.Array) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def learn_profiles(labelled: DataFrame, profile: int = PROFILE) -> dict[str, list[int]]:
-    """The codes of each language's most frequent n-grams, most frequent first (ties: smaller code), from columns text and
-    lang of all rows; null languages are left out. Only languages x ``profile`` codes come to the driver.
-    """
+def _ngram_counts(labelled: DataFrame) -> DataFrame:
+    """lang, part, code and n, several rows for one code, from columns text, lang and part of the rows that have a language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            names = sorted(set(langs))
+            sources = list(zip(batch.column("lang").to_pylist(), batch.column("part").to_pylist()))
+            names = sorted(set(sources))
             place = {x: i for i, x in enumerate(names)}
-            number, total = np.array([place[x] for x in langs], np.int64), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            number, total = np.array([place[x] for x in sources], np.int64), (np.zeros(0, np.int64), np.zeros(0, np.int64))
             for start, n in _ranges(batch.column("text")):
                 keys, counts = _document_counts(batch.column("text").slice(start, n).to_pylist())
                 keys = number[start + (keys >> _CODE_BITS)] << _CODE_BITS | keys & _CODES
                 total = _counted(np.concatenate((total[0], keys)), np.concatenate((total[1], counts)))
             keys, counts = total
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(keys >> _CODE_BITS)), pa.array(keys & _CODES), pa.array(counts.astype(np.int64))], ["lang", "code", "n"])
+            source = pa.array(keys >> _CODE_BITS)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in names], pa.string()).take(source), pa.array([x for _, x in names], pa.int32()).take(source), pa.array(keys & _CODES), pa.array(counts.astype(np.int64))], ["lang", "part", "code", "n"])
+
+    return labelled.select("text", "lang", F.col("part").cast("int").alias("part")).where("lang is not null").mapInArrow(count, "lang string, part int, code long, n long")
 
-    rows = labelled.select("text", "lang").where("lang is not null").mapInArrow(count, "lang string, code long, n long")
-    ranked = rows.groupBy("lang", "code").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code")))
-    out: dict[str, list[int]] = {}
-    for r in ranked.where(F.col("rank") <= profile).orderBy("lang", "rank").collect():
-        out.setdefault(r.lang, []).append(r.code)
+
+def _most_frequent(counts: DataFrame, profile: int) -> dict[int, dict[str, list[int]]]:
+    """For each part of ``counts`` (lang, part, code, n; one row a code) the profiles of its languages."""
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("part", "lang").orderBy(F.desc("n"), "code")))
+    out: dict[int, dict[str, list[int]]] = {}
+    for r in ranked.where(F.col("rank") <= profile).orderBy("part", "lang", "rank").collect():
+        out.setdefault(r.part, {}).setdefault(r.lang, []).append(r.code)
     return out
 
 
+def learn_profiles(labelled: DataFrame, profile: int = PROFILE) -> dict[str, list[int]]:
+    """The codes of each language's most frequent n-grams, most frequent first (ties: smaller code), from columns text and
+    lang of all rows; null languages are left out. Only languages x ``profile`` codes come to the driver.
+    """
+    counts = _ngram_counts(labelled.withColumn("part", F.lit(0))).groupBy("lang", "part", "code").agg(F.sum("n").alias("n"))
+    return _most_frequent(counts, profile).get(0, {})
+
+
+def learn_profiles_and_limits(docs: DataFrame, profile: int = PROFILE) -> tuple[dict[str, list[int]], dict[str, float]]:
+    """Profiles, and for each language the distance beyond which a text is none of it.
+
+    Every labelled document is measured with profiles that nothing of its own third is in. With q the 99th percentile of a
+    language's documents and m their median, in steps of 1/``STEPS``, the limit of every language is the largest q + (q - m)
+    of any, so that texts in two languages stay. Languages with fewer than ``LEAST`` documents that can be measured so
+    have no limit.
+    """
+    parts = docs.select("text", "lang", _third().alias("part")).where("lang is not null")
+    counts = _ngram_counts(parts).groupBy("lang", "code").agg(*(F.sum(F.when(F.col("part") != k, F.col("n"))).alias(f"n{k}") for k in range(3)))
+    some = counts.select("lang", "code", F.explode(F.array(*(F.struct(F.lit(k).alias("part"), F.col(f"n{k}").alias("n")) for k in range(3)))).alias("x"))
+    others = _most_frequent(some.select("lang", "code", "x.part", "x.n").where("n is not null"), profile)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = {k: Profiles(x, profile) for k, x in others.items()}
+        for batch in batches:
+            seen: Counter = Counter()
+            for k, model in models.items():
+                own = batch.filter(pc.equal(batch.column("part"), k))
+                langs, _, far = model.predict_column(own.column("text"))
+                seen.update((x, math.ceil(f * STEPS)) for x, y, f in zip(own.column("lang").to_pylist(), langs, far) if y != "und" and x in others[k])
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in seen], pa.string()), pa.array([d for _, d in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], ["lang", "step", "n"])
+
+    found: dict[str, list[tuple[int, int]]] = {}
+    if others:
+        for r in parts.mapInArrow(measure, "lang string, step int, n long").groupBy("lang", "step").agg(F.sum("n").alias("n")).orderBy("lang", "step").collect():
+            found.setdefault(r.lang, []).append((r.step, r.n))
+    limits = {}
+    for lang, steps in found.items():
+        total = sum(n for _, n in steps)
+        if total >= LEAST:
+            upto = np.cumsum([n for _, n in steps])
+            middle, high = (steps[int(np.searchsorted(upto, share * total))][0] for share in (0.5, 0.99))
+            limits[lang] = (2 * high - middle) / STEPS
+    return others.get(1, {}), {lang: max(limits.values()) for lang in limits}
+
+
 class Profiles:
     """Distances of many texts to all languages."""
 
@@ -194,6 +245,11 @@ class Profiles:
         return langs, scores, far
 
 
+def _third():
+    """0 to 2; 1 for the documents of ``held_out``. By the text where there is no id."""
+    return F.coalesce(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.col("text")).cast("binary")) % 3, F.lit(0)).cast("int")
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the third of documents that nothing is learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -216,17 +272,19 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str] =
     return out.select(*(F.col(f"_keep_{i}").alias(f"keep_{c}") for i, c in enumerate(kept)), "doc_id", "held_out", "lang_pred", "score", "distance")
 
 
-def accepted(docs: DataFrame, profiles: dict[str, list[int]], farthest: float = FARTHEST) -> DataFrame:
-    """The rows, all columns unchanged, whose text has letters and is no farther from the nearest language than
-    ``farthest`` of the largest distance. Without any profile, the rows that have letters.
+def accepted(docs: DataFrame, profiles: dict[str, list[int]], limits: dict[str, float] | None = None, farthest: float = FARTHEST) -> DataFrame:
+    """The rows, all columns unchanged, whose text has letters and is no farther from the nearest language than that
+    language's limit (a share of the largest distance); ``farthest`` for languages without one. Without any profile, the
+    rows that have letters.
     """
+    limits = limits or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, table = Profiles(profiles), char_classes()
         for batch in batches:
             if model.names:
                 langs, _, far = model.predict_column(batch.column("text"))
-                good = [x != "und" and f <= farthest for x, f in zip(langs, far)]
+                good = [x != "und" and f <= limits.get(x, farthest) for x, f in zip(langs, far)]
             else:
                 good = [any(table[ord(c)] for c in t or "") for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
