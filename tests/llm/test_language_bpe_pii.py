@@ -214,3 +214,28 @@ def test_languages_of_few_documents_have_no_limit(spark):
     profiles, limits = language_id.learn_profiles_and_limits(spark.createDataFrame(few, "doc_id long, text string, lang string"))
     assert set(limits) == {"en"} and 0 < limits["en"] < language_id.FARTHEST
     assert language_id.learn_profiles_and_limits(spark.createDataFrame([], "doc_id long, text string, lang string")) == ({}, {})
+
+
+def test_long_secrets_are_found_whole():
+    rng, wide = random.Random(5), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for alphabet in (wide, "0123456789abcdef", wide + "+/", wide + "!$%.,&"):
+        for n in (201, 205, 300, 1000, 5000):
+            for form in ('token = "%s"', "secret=%s", "the password: %s\n and more"):
+                value = "x7" + "".join(rng.choices(alphabet, k=n - 3)) + "Z"
+                text = form % value
+                base = pii.base_spans(text)
+                assert set(pii.redact(text, base + pii.model().choose(text, base)).replace("[SECRET]", "").replace("[CARD]", "")) <= set(form), (alphabet, n, form)
+                if not base:
+                    assert pii.model().choose(text, base) == [("secret", text.index(value), text.index(value) + n)]
+    jwt = ".".join("".join(rng.choices(wide, k=k)) for k in (40, 500, 43))
+    for lead in ("token=", "key: ", "Auth token: "):
+        assert pii.model().choose(lead + jwt, []) == [("secret", len(lead), len(lead) + len(jwt))]
+    slug = "see http://a/" + "/".join(rng.choices(["the", "other", "page", "and", "more"], k=100)) + "/page12"
+    assert pii.model().choose(slug, []) == []
+
+
+def test_a_secret_around_a_card_number_is_left_nowhere():
+    value = "a1b2c3d4e5f6" * 10 + "x4111111111111111x" + "f6e5d4c3b2a1" * 10
+    text = f"token = {value}"
+    base = pii.base_spans(text)
+    assert [k for k, _, _ in base] == ["card"] and pii.redact(text, base + pii.model().choose(text, base)) == "token = [SECRET][CARD][SECRET]"

@@ -4,11 +4,14 @@ The base kinds (email, ip, card, phone) follow fixed patterns and checks and are
 propose candidates that may overlap: values that a name such as ``token`` or ``password`` is given, long mixed runs of
 letters and digits, digit groups with separators, account numbers, addresses written out in words. Boosted trees score each by its format
 and by the words around it; the score is calibrated to a probability, each kind has a threshold chosen on held-out rows
-for a wanted precision, and among overlapping candidates the most probable stays. The trees are trained here on
-``TRAINING`` made-up candidates a kind (a bounded, seeded sample; no row of any table is used).
+for a wanted precision, and among overlapping candidates the most probable stays; but the whole value given to a name goes
+before a run that is only part of it. The trees are trained here on ``TRAINING`` made-up candidates a kind and a third
+as many long secrets (a bounded, seeded sample; no row of any table is used).
 
 Defined results. Null text: like empty text, no spans. Offsets count code points, ends are exclusive. Candidates that
-overlap a base span go. Scans are linear in the text: patterns start at digits, at ``@`` or at an assignment only.
+overlap a base span go, but a secret with a card or phone number in it stays as the pieces around that, if they have
+``RUN`` characters together. Secrets have no largest length. Scans are linear in the text: patterns start at digits, at
+``@`` or at an assignment only.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +32,16 @@ from .boosting import BoostedTrees
 
 BASE = ("email", "ip", "card", "phone")
 EXTRA = ("account", "address", "number", "secret")
-TRAINING, PRECISION = 1500, 0.99
+TRAINING, PRECISION, RUN = 1500, 0.99, 20
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
 _IP = re.compile(r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_ASSIGNED = re.compile(r"""(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|key|credential|auth)["']?[\x20\t]{0,3}[=:][\x20\t]{0,3}["']?([^\s"']{6,200})""")
-_MIXED = re.compile(r"[A-Za-z0-9_/+=-]{20,200}")
+_ASSIGNED = re.compile(r"""(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|key|credential|auth)["']?[\x20\t]{0,3}[=:][\x20\t]{0,3}["']?""")
+_VALUE = re.compile(r"""[^\s"']{6,}+""")
+_MIXED = re.compile(r"[A-Za-z0-9_/+=-]{20,}+")
 _GROUPS = re.compile(r"\(?[0-9]{2,4}\)?(?:[ .\-/][0-9]{2,4}){1,4}")
 _ACCOUNT = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
 _SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:[\[(] ?dot ?[\])]|\.) ?[A-Za-z0-9-]{1,63}){1,4}", re.I)
@@ -91,15 +96,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [x for k in BASE for x in found[k]]
 
 
-def candidates(text: str) -> list[tuple[str, int, int]]:
-    """Proposed spans of the extra kinds, which may overlap; linear in the text."""
-    out = set()
+def assigned(text: str) -> list[tuple[str, int, int]]:
+    """Whole values that names of secrets are given, from left to right; none overlap."""
+    out, over = [], 0
+    for sign in _NAMES.finditer(text):
+        if (s := sign.start()) >= over:
+            for m in _ASSIGNED.finditer(text, max(0, s - 24), min(len(text), s + 6)):
+                if m.start() < s < m.end() and (value := _VALUE.match(text, m.end())):
+                    out.append(("secret", *value.span()))
+                    over = value.end()
+    return out
+
+
+def candidates(text: str, named: list[tuple[str, int, int]] | None = None) -> list[tuple[str, int, int]]:
+    """Proposed spans of the extra kinds, which may overlap, with ``named`` (those of ``assigned``); linear in the text."""
+    out = set(assigned(text) if named is None else named)
     looked = [0, 0, 0, 0]  # for mixed runs, groups, accounts, words with digits: up to where
     for run in _DIGITS.finditer(text):
         s = run.start()
         if s >= looked[0]:
             a = s
-            while a > looked[0] and s - a < 200 and _is_mixed(text[a - 1]):
+            while a > looked[0] and _is_mixed(text[a - 1]):
                 a -= 1
             if (m := _MIXED.match(text, a)) and any(map(str.isalpha, m[0])):
                 out.add(("secret", a, m.end()))
@@ -113,14 +130,6 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
             out.add(("account", s - 2, m.end()))
             looked[2] = m.end()
     over = 0
-    for sign in _NAMES.finditer(text):
-        if (s := sign.start()) >= over:
-            left = max(0, s - 24)
-            for m in _ASSIGNED.finditer(text, left, min(len(text), s + 220)):
-                if m.start() < s < m.start(1):
-                    out.add(("secret", m.start(1), m.end(1)))
-                    over = m.end(1)
-    over = 0
     for sign in _SPELLED_AT.finditer(text) if "at" in text or "AT" in text else ():
         if sign.start() >= over:
             left = max(over, sign.start() - 66)
@@ -196,10 +205,20 @@ def training_rows(per_kind: int = TRAINING, seed: int = 7) -> tuple[list[tuple[s
     def address_no():
         return pick(["look ", "we met ", "the price "]), word() + " (at) " + word() + "." + word() + pick([" .", "."]) + word(), False
 
+    def long_yes():
+        n = int(65 * 100 ** rng.random())
+        value = pick([lambda: chars(hexes, n), lambda: chars(wide, n), lambda: chars(wide + "+/", n) + "==", lambda: ".".join(chars(wide + "-_", max(20, n // 3)) for _ in range(3)), lambda: chars(wide + "!#$%&*.,;:?@^~", n)])()
+        return pick(["token = ", "TOKEN=", "api_key: ", "secret=", "password: ", "access_key = ", "Auth token: ", "key = "]), value, True
+
+    def long_no():
+        n = rng.randint(8, 400)
+        value = pick([lambda: "/".join(word() for _ in range(n)) + "/page" + digits(3), lambda: "-".join(word() for _ in range(n)) + "-" + digits(2), lambda: pick("=-_") * (8 * n) + digits(2), lambda: "_".join(pick([word(), digits(2)]) for _ in range(n)), lambda: ",".join(word() for _ in range(n))])()
+        return pick(["see ", "http://", "the ", "in ", "key: ", "/", "version "]), value, False
+
     rows, labels = [], []
     makers = {"secret": (secret_yes, secret_no, secret_yes, secret_word), "number": (number_yes, number_no), "account": (account_yes, account_no), "address": (address_yes, address_no)}
-    for kind, some in makers.items():
-        for i in range(per_kind):
+    for kind, some, n in [*((k, x, per_kind) for k, x in makers.items()), ("secret", (long_yes, long_no), per_kind // 3)]:
+        for i in range(n):
             lead, value, good = some[i % len(some)]()
             head = " ".join(word() for _ in range(rng.randint(0, 6))) + pick([" ", "\n", " | ", ". "]) + lead
             tail = pick([" ", ".", ",", "\n", "!! ", "%%% ", " | "]) + " ".join(word() for _ in range(3))
@@ -228,37 +247,64 @@ class Model:
             self.threshold[kind] = float(max(0.5, p[own][order][good[-1]])) if len(good) else 1.1
 
     def choose(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """The extra spans: over their threshold, clear of base spans, the most probable of those that overlap."""
-        proposed = candidates(text)
+        """The extra spans: over their threshold, clear of base spans, the most probable of those that overlap, whole values first."""
+        named = assigned(text)
+        proposed = candidates(text, named)
         if not proposed:
             return []
         p = self.trees.probability(np.array([features(text, *c) for c in proposed]))
-        taken, out = sorted((s, e) for _, s, e in base), []
-        ends = max((e - s for s, e in taken), default=0)
-        for i in sorted(range(len(proposed)), key=lambda i: (-p[i], proposed[i])):
+        good = [i for i in range(len(proposed)) if p[i] >= self.threshold[proposed[i][0]]]
+        passed = {proposed[i] for i in good}
+        values = [x[1:] for x in named if x in passed]
+        starts = [s for s, _ in values]
+        taken, digits, out = _joined([x[1:] for x in base]), _joined([x[1:] for x in base if x[0] in ("card", "phone")]), []
+        for i in sorted(good, key=lambda i: (-p[i], proposed[i])):
             kind, s, e = proposed[i]
-            if p[i] >= self.threshold[kind] and not _overlaps(taken, ends, s, e):
-                out.append(proposed[i])
-                taken.insert(_place(taken, s), (s, e))
-                ends = max(ends, e - s)
+            pieces = [(s, e)]
+            if kind == "secret":
+                if any(_more(text, *x, s, e) for x in values[max(0, bisect_right(starts, s) - 1) : bisect_left(starts, e)] if x[1] > s):
+                    continue
+                pieces = _around(digits, s, e)
+                if pieces != [(s, e)] and sum(b - a for a, b in pieces) < RUN:
+                    continue
+            if not any(_overlaps(taken, a, b) for a, b in pieces):
+                for a, b in pieces:
+                    out.append((kind, a, b))
+                    taken.insert(bisect_left(taken, (a, b)), (a, b))
         return sorted(out)
 
 
-def _place(taken: list[tuple[int, int]], start: int) -> int:
-    lo, hi = 0, len(taken)
-    while lo < hi:
-        mid = (lo + hi) // 2
-        lo, hi = (mid + 1, hi) if taken[mid][0] < start else (lo, mid)
-    return lo
+def _more(text: str, a: int, b: int, start: int, end: int) -> bool:
+    """Whether a to b has more than closing punctuation outside start to end."""
+    return a < start or bool(text[end:b].strip(".,;:)]}>"))
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same places as sorted spans that do not overlap."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
 
 
-def _overlaps(taken: list[tuple[int, int]], longest: int, start: int, end: int) -> bool:
-    for s, e in taken[_place(taken, start - longest) :]:
-        if s >= end:
-            return False
+def _around(spans: list[tuple[int, int]], start: int, end: int) -> list[tuple[int, int]]:
+    """What is left of start to end without the spans, which are sorted and do not overlap."""
+    out = []
+    for s, e in spans[max(0, bisect_left(spans, (start, start)) - 1) : bisect_left(spans, (end, end))]:
         if e > start:
-            return True
-    return False
+            if s > start:
+                out.append((start, s))
+            start = e
+    return [*out, (start, end)] if start < end else out
+
+
+def _overlaps(taken: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether any of the spans, which are sorted and do not overlap, meets start to end."""
+    i = bisect_left(taken, (end, end)) - 1
+    return i >= 0 and taken[i][1] > start
 
 
 _models: list[Model] = []
