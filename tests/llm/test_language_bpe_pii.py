@@ -239,3 +239,12 @@ def test_a_secret_around_a_card_number_is_left_nowhere():
     text = f"token = {value}"
     base = pii.base_spans(text)
     assert [k for k, _, _ in base] == ["card"] and pii.redact(text, base + pii.model().choose(text, base)) == "token = [SECRET][CARD][SECRET]"
+
+
+def test_the_pipeline_knows_languages_of_held_out_documents(spark):
+    rare = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 3 == 1][:2]
+    rows = [(i, f"the cat and the dog {'and so on ' * i}", "en") for i in range(30)] + [(i, "ένα κείμενο σε άλλη γραφή", "el") for i in rare]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles, limits = language_id.learn_profiles_and_limits(docs)
+    assert profiles == language_id.learn_profiles(docs) and sorted(profiles) == ["el", "en"]
+    assert language_id.accepted(docs, profiles, limits).count() == len(rows)

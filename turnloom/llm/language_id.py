@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ._common import document_key
 
 PROFILE, SLICE, GROUP_BYTES, FARTHEST = 300, 1 << 19, 1 << 20, 0.95
-STEPS, LEAST = 1000, 10
+STEPS, LEAST, ALL = 1000, 10, 3
 _CODE_BITS = 23
 _CODES = (1 << _CODE_BITS) - 1
 _classes: list[np.ndarray] = []
@@ -155,7 +155,7 @@ def learn_profiles(labelled: DataFrame, profile: int = PROFILE) -> dict[str, lis
 
 
 def learn_profiles_and_limits(docs: DataFrame, profile: int = PROFILE) -> tuple[dict[str, list[int]], dict[str, float]]:
-    """Profiles, and for each language the distance beyond which a text is none of it.
+    """Profiles of all labelled documents, and for each language the distance beyond which a text is none of it.
 
     Every labelled document is measured with profiles that nothing of its own third is in. With q the 99th percentile of a
     language's documents and m their median, in steps of 1/``STEPS``, the limit of every language is the largest q + (q - m)
@@ -163,9 +163,10 @@ def learn_profiles_and_limits(docs: DataFrame, profile: int = PROFILE) -> tuple[
     have no limit.
     """
     parts = docs.select("text", "lang", _third().alias("part")).where("lang is not null")
-    counts = _ngram_counts(parts).groupBy("lang", "code").agg(*(F.sum(F.when(F.col("part") != k, F.col("n"))).alias(f"n{k}") for k in range(3)))
-    some = counts.select("lang", "code", F.explode(F.array(*(F.struct(F.lit(k).alias("part"), F.col(f"n{k}").alias("n")) for k in range(3)))).alias("x"))
+    counts = _ngram_counts(parts).groupBy("lang", "code").agg(*(F.sum(F.when(F.col("part") != k, F.col("n"))).alias(f"n{k}") for k in range(3)), F.sum("n").alias(f"n{ALL}"))
+    some = counts.select("lang", "code", F.explode(F.array(*(F.struct(F.lit(k).alias("part"), F.col(f"n{k}").alias("n")) for k in range(ALL + 1)))).alias("x"))
     others = _most_frequent(some.select("lang", "code", "x.part", "x.n").where("n is not null"), profile)
+    profiles = others.pop(ALL, {})
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = {k: Profiles(x, profile) for k, x in others.items()}
@@ -188,7 +189,7 @@ def learn_profiles_and_limits(docs: DataFrame, profile: int = PROFILE) -> tuple[
             upto = np.cumsum([n for _, n in steps])
             middle, high = (steps[int(np.searchsorted(upto, share * total))][0] for share in (0.5, 0.99))
             limits[lang] = (2 * high - middle) / STEPS
-    return others.get(1, {}), {lang: max(limits.values()) for lang in limits}
+    return profiles, {lang: max(limits.values()) for lang in limits}
 
 
 class Profiles:
