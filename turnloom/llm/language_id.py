@@ -7,8 +7,8 @@ most ``PROFILE`` each; the nearest language is predicted.
 
 Defined results. Null text, or one without a letter: ``und``, score 0; so is everything if no language was learned.
 Ties: the smaller name. Characters outside a-z share 101 classes by code point. A run of letters over ``SLICE``
-characters is cut, and counts of one n-gram in a document go up to 2**20 - 1. Score: the gap between the two nearest
-languages over the second distance; with one language, one minus the distance over its maximum.
+characters is cut. Score: the gap between the two nearest languages over the second distance; with one language, one
+minus the distance over its maximum.
 """
 
 from __future__ import annotations
@@ -218,10 +218,12 @@ class Profiles:
             return langs, scores, far
         owner, code = keys >> _CODE_BITS, keys & _CODES
         most = np.int64(2**20 - 1)
-        order = np.sort((owner << 20 | most - np.minimum(counts, most)) << _CODE_BITS | code) if owner[-1] < 2**20 else None
-        if order is None:
-            raise ValueError("a batch has at most 2**20 texts")
-        owner, code = order >> (_CODE_BITS + 20), order & _CODES
+        if owner[-1] < 2**20 and counts.max() <= most:  # one sort of packed keys is faster
+            order = np.sort((owner << 20 | most - counts) << _CODE_BITS | code)
+            owner, code = order >> (_CODE_BITS + 20), order & _CODES
+        else:
+            order = np.lexsort((code, -counts, owner))
+            owner, code = owner[order], code[order]
         first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
         rank = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
         top = rank < self.size
