@@ -3,8 +3,8 @@
 Windows of half the wanted length are looked at first. Only those that occur at two places of the corpus are extended
 to twice that length; of these, all but the first occurrence lose their words. The first level sends not every window
 but, for each window of full length, the one of its half-length windows with the smallest hash: equal windows choose
-equal ones, so none is missed, and about a sixth of all positions is sent. ``levels`` says which lengths are
-passed; with a longer last length doubling goes on, until no candidates survive.
+equal ones, so none is missed, and about a sixth of all positions is sent. There is one doubling whatever the wanted
+length: ``levels`` gives the half and the whole.
 
 Defined results. Null text: no words. Null doc_id: kept, ordered after all ids, by a hash of the text. Several rows of
 one doc_id: separate texts, ordered by text. Texts shorter than a window lose nothing. Hashes are of 64 bits on the
