@@ -1,13 +1,19 @@
 """I-Match fingerprints of documents, in DataFrame functions only.
 
-A term is a run of letters and digits of the lower-cased text. The lexicon holds the terms whose inverse document frequency, ln(documents /
-documents with the term), lies in a chosen band; a document keeps its distinct terms of the lexicon, in the lexicon's
-sorted order. Several randomised subsets of the lexicon (a term is in a subset if some seeded bits of its hash are
-zero) leave as many short lists, whose hashes are the fingerprint; two fingerprints are as like as the share of equal
-hashes among the subsets that either document has terms of.
+A term is a run of letters and digits of the lower-cased text. The lexicon holds the terms
+whose inverse document frequency, ln(documents / documents with the term), lies in a chosen band; a document keeps its
+distinct terms of the lexicon, sorted by their 64-bit hashes. ``SUBSETS`` randomised subsets of the lexicon leave as many short lists, whose
+hashes are the fingerprint; two fingerprints are as like as the share of equal hashes among the subsets that either
+document has terms of.
 
-Size of the lexicon, which every task gets: a term of the band occurs in at least exp(-``IDF_BAND``[1]) of all documents, so there are
-at most (mean number of distinct terms) x exp(``IDF_BAND``[1]) of them, however many documents there are.
+The subsets come in five densities, from a quarter of the lexicon to a 1024th, so that texts of ten terms and of ten
+thousand both have subsets of which they hold one or two terms: those survive when half of a text is rewritten. Which
+subset of a density a term is in is read from bits of its hash that no other density uses. The four densest subsets divide the
+whole lexicon, so each of its terms is in one.
+
+Size of the lexicon: a term of the band occurs in at least exp(-``IDF_BAND``[1]) of all documents, so there are at most
+(mean number of distinct terms) x exp(``IDF_BAND``[1]) of them, however many documents there are. Up to ``LOOKUP`` terms
+go with the tasks as one hash table, in which each term of a text is looked up once; a larger lexicon is joined as a table.
 
 Defined results. Null text: like empty text. A text with no term of the lexicon has its SHA-256 as fingerprint, which
 is like an equal one only. Null doc_id: ordered after all ids, by a hash of the text; rows of one doc_id are ordered by
@@ -17,52 +23,77 @@ text. The only row of a table is its own next document. An empty table gives an
 from __future__ import annotations
 
 import math
-import random
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import document_key, shuffle_partitions
+from ._common import document_key, shuffle_partitions, with_checkpoints
 
 IDF_BAND = (1.0, 5.0)
-SUBSETS, BITS = 24, 6  # a term is in a subset with a chance of 2 ** -BITS
+LOOKUP = 1 << 17
+#: For each density: first bit of a term's hash, number of bits, and how many of the 2 ** bits values are subsets.
+DENSITIES = ((0, 2, 4), (2, 4, 8), (6, 6, 16), (12, 8, 16), (20, 10, 16))
+SUBSETS = sum(n for _, _, n in DENSITIES)
 
 
 def terms(text: Column) -> Column:
-    return F.split(F.lower(text), r"[^\p{L}\p{N}]+")
+    """The distinct terms; an empty string may be among them and is in no lexicon."""
+    return F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
 
 
-def learn_lexicon(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> list[str]:
-    """The sorted terms of the band, from all documents."""
+def learn_lexicon(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> DataFrame:
+    """The column ``term`` of the band's terms, from all documents."""
     n = docs.count()
-    seen = docs.select(F.explode(F.array_distinct(terms(F.coalesce(F.col("text"), F.lit(""))))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    seen = docs.select(F.explode(terms(F.coalesce(F.col("text"), F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     low, high = math.ceil(n * math.exp(-band[1])), math.floor(n * math.exp(-band[0]))
-    return sorted(r.term for r in seen.where(F.col("df").between(max(2, low), high) & (F.col("term") != "")).select("term").collect())
+    return seen.where(F.col("df").between(max(2, low), high) & (F.col("term") != "")).select("term")
+
+
+def lookup_table(lexicon: DataFrame, most: int) -> list[str] | None:
+    """The lexicon as a hash table: place pmod(xxhash64(term), places) holds `` term ... ``. None if there are over ``most`` terms."""
+    n = lexicon.count()
+    if n > most:
+        return None
+    places = [[] for _ in range(n)]
+    for r in lexicon.select("term", F.pmod(F.xxhash64("term"), F.lit(max(1, n))).alias("place")).collect():
+        places[r.place].append(r.term)
+    return [f" {' '.join(sorted(p))} " for p in places]
 
 
-def _masks(subsets: int, bits: int) -> list[int]:
-    """For each subset the bits of a term's hash that must be zero; a seeded choice."""
-    rng = random.Random(11)
-    return [sum(1 << b for b in rng.sample(range(63), bits)) for _ in range(subsets)]
+def with_known(docs: DataFrame, text: str, lexicon: DataFrame, table: list[str] | None) -> DataFrame:
+    """The rows with ``known``: the sorted hashes of the lexicon's terms that are in the column ``text``.
+
+    Each term is looked up in the ``table``; without one the lexicon is joined, on rows of key and text.
+    """
+    if table is not None:
+        places, n = F.split(F.lit("|".join(table)), r"\|"), max(1, len(table))
+        there = F.filter(terms(F.col(text)), lambda t: F.contains(F.get(places, F.pmod(F.xxhash64(t), F.lit(n)).cast("int")), F.concat(F.lit(" "), t, F.lit(" "))))
+        return docs.withColumn("known", F.sort_array(F.transform(there, lambda t: F.xxhash64(t))))
+    rows = docs.withColumn("text_hash", F.sha2(text, 256))
+    met = rows.select("key", "text_hash", F.explode(terms(F.col(text))).alias("term")).distinct().join(lexicon, "term")
+    known = met.groupBy("key", "text_hash").agg(F.sort_array(F.collect_list(F.xxhash64("term"))).alias("known"))
+    return rows.join(known, ["key", "text_hash"], "left").withColumn("known", F.coalesce("known", F.array().cast("array<bigint>"))).drop("text_hash")
 
 
-def hashes(text: Column, lexicon: list[str], subsets: int = SUBSETS, bits: int = BITS) -> Column:
-    """One hash for each subset, null where the text has no term of it."""
-    known = F.split(F.lit(" ".join(lexicon)), " ")
-    kept = F.transform(F.array_intersect(known, terms(text)), lambda t: F.xxhash64(t))
+def density(known: Column, number: int, bit: int, bits: int, subsets: int) -> Column:
+    """The hashes, in hex, of the known terms of each subset of one density; ``-`` for a subset that has none."""
+    value = lambda t: F.shiftrightunsigned(t, bit).bitwiseAND(F.lit(2**bits - 1))
+    shown = lambda c, j: F.when(F.size(c) > 0, F.lpad(F.lower(F.hex(F.xxhash64(c, j, F.lit(number)).bitwiseAND(F.lit(2**32 - 1)))), 8, "0")).otherwise("-")
+    one = lambda kept, j: F.transform(F.array(F.filter(kept, lambda t: value(t) == j)), lambda c: shown(c, j))[0]
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(subsets - 1).cast("long"))
+    kept = known if subsets == 2**bits else F.filter(known, lambda t: value(t) < subsets)
+    return F.transform(F.array(kept), lambda kept: F.transform(numbers, lambda j: one(kept, j)))[0]
 
-    def part(kept: Column, k: int, mask: int) -> Column:
-        chosen = F.filter(kept, lambda h: h.bitwiseAND(F.lit(mask)) == 0)
-        return F.transform(F.array(chosen), lambda c: F.when(F.size(c) > 0, F.xxhash64(c, F.lit(k))))[0]
 
-    masks = _masks(subsets, bits)
-    return F.transform(F.array(kept), lambda x: F.array(*(part(x, k, mask) for k, mask in enumerate(masks))))[0]
+def subset_hashes(known: Column) -> Column:
+    return F.concat(*(density(known, k, *d) for k, d in enumerate(DENSITIES)))
 
 
-def fingerprint(text: Column, parts: Column) -> Column:
-    """The hashes in hex, ``-`` for a subset without terms; or the text's SHA-256 if no subset has any."""
-    shown = F.array_join(F.transform(parts, lambda h: F.coalesce(F.lower(F.hex(h)), F.lit("-"))), ",")
-    return F.when(F.exists(parts, lambda h: h.isNotNull()), shown).otherwise(F.sha2(text, 256))
+def with_fingerprint(docs: DataFrame, text: str, name: str, lexicon: DataFrame, table: list[str] | None) -> DataFrame:
+    """The rows with their fingerprint as a column ``name``: the hashes with commas, or the text's SHA-256 if no subset has terms."""
+    known = with_known(docs, text, lexicon, table)
+    whole = F.transform(F.array("known"), lambda k: F.when(F.size(k) > 0, F.array_join(subset_hashes(k), ",")))[0]
+    return known.withColumn(name, F.coalesce(whole, F.sha2(text, 256))).drop("known")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -73,35 +104,54 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.coalesce(same / F.greatest(total, F.lit(1)), F.lit(0.0)))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Each row with ``next_<column>``, of the row that follows by ``key`` (then text), after the last the first.
+def _longs(values: list[int | None]) -> str:
+    return "array(" + ",".join("CAST(NULL AS BIGINT)" if v is None else f"CAST('{v}' AS BIGINT)" for v in values) + ")"
 
-    Rows are cut into buckets of keys by approximate quantiles; each bucket also gets the first row of the next one, so
-    the order is found bucket by bucket.
+
+def _place(key: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at most the key: first among every step-th bound, then among those up to the next."""
+    if not bounds:
+        return F.lit(0)
+    step = math.isqrt(len(bounds)) or 1
+    heads = F.expr(_longs(bounds[::step]))
+    parts = F.expr("array(" + ",".join(_longs(bounds[i : i + step]) for i in range(0, len(bounds), step)) + ")")
+    head = F.size(F.filter(heads, lambda b: b <= key))
+    return F.when(head == 0, 0).otherwise((head - 1) * step + F.size(F.filter(F.get(parts, head - 1), lambda b: b <= key)))
+
+
+def in_buckets(docs: DataFrame) -> DataFrame:
+    """The rows dealt to tasks by ``bucket``, a number for a range of keys between approximate quantiles, so that the order is
+    found bucket by bucket. Each bucket also gets the first row of the next one, with ``copied`` 1; the last gets that of
+    the first. Only four keys a partition come to the driver.
     """
     wanted = max(16, 4 * shuffle_partitions(docs.sparkSession))
-    quantiles = docs.agg(F.percentile_approx("key", [i / wanted for i in range(1, wanted)], 20 * wanted)).first()[0] or []
-    bounds = F.array(*(F.lit(b) for b in sorted(set(quantiles)))) if quantiles else F.array().cast("array<bigint>")
-    bucketed = docs.withColumn("bucket", F.size(F.filter(bounds, lambda b: b <= F.col("key"))))
-    firsts = sorted((r.bucket, r.key) for r in bucketed.groupBy("bucket").agg(F.min("key").alias("key")).collect())
-    before = {key: firsts[i - 1][0] for i, (_, key) in enumerate(firsts)}
-    copy = F.lit(None).cast("int")
-    if before:
-        copy = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[F.col("key")]
+    bounds = sorted(set(docs.agg(F.percentile_approx("key", [i / wanted for i in range(1, wanted)], 20 * wanted)).first()[0] or []))
+    bucketed = docs.withColumn("bucket", _place(F.col("key"), bounds))
+    first = {r.bucket: r.key for r in bucketed.groupBy("bucket").agg(F.min("key").alias("key")).collect()}
+    there = sorted(first)
+    before = {b: there[i - 1] for i, b in enumerate(there)}
+    keys, places = ([x.get(b) for b in range(len(bounds) + 1)] for x in (first, before))
+    copy = F.when(F.expr(_longs(keys))[F.col("bucket")] == F.col("key"), F.expr(_longs(places))[F.col("bucket")].cast("int"))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("copied"))
-    dealt = bucketed.withColumn("place", F.explode(F.when(copy.isNotNull(), F.array(own, F.struct(copy.alias("bucket"), F.lit(1).alias("copied")))).otherwise(F.array(own))))
-    dealt = dealt.select(*(c for c in docs.columns), F.col("place.bucket").alias("bucket"), F.col("place.copied").alias("copied"))
+    dealt = bucketed.withColumn("copy", copy).withColumn("place", F.explode(F.when(F.col("copy").isNotNull(), F.array(own, F.struct(F.col("copy").alias("bucket"), F.lit(1).alias("copied")))).otherwise(F.array(own))))
+    return dealt.select(*docs.columns, F.col("place.bucket").alias("bucket"), F.col("place.copied").alias("copied")).repartition("bucket")
+
+
+def with_next(dealt: DataFrame, columns: list[str]) -> DataFrame:
+    """Each row of ``in_buckets`` with ``next_<column>``, of the row that follows by ``key`` (then text), after the last the first."""
     order = Window.partitionBy("bucket").orderBy("copied", "key", "text")
     return dealt.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns)).where("copied = 0").drop("bucket", "copied")
 
 
-def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = IDF_BAND, subsets: int = SUBSETS, bits: int = BITS) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row."""
     base = docs.select(document_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    lexicon = learn_lexicon(docs, band)
-    marked = base.withColumn("fingerprint", fingerprint(F.col("text"), hashes(F.col("text"), lexicon, subsets, bits)))
+    with_checkpoints(docs.sparkSession)
+    lexicon = learn_lexicon(docs, band).checkpoint()
+    table = lookup_table(lexicon, LOOKUP)
+    marked = with_fingerprint(in_buckets(base), "text", "fingerprint", lexicon, table)
     pairs = with_next(marked, ["text", "fingerprint"]).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), F.col("n_chars").cast("int") - half), F.col("next_text").substr(F.lit(1), half))
-    done = pairs.withColumn("edited", edited).withColumn("edited_fingerprint", fingerprint(F.col("edited"), hashes(F.col("edited"), lexicon, subsets, bits)))
+    done = with_fingerprint(pairs.withColumn("edited", edited).drop("text", "next_text"), "edited", "edited_fingerprint", lexicon, table)
     return done.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
