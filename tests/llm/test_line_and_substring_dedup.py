@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.llm import line_dedup, substring_dedup
+from turnloom.llm import _blocks, line_dedup, substring_dedup
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, key string, block int, part int, rest string"
@@ -51,7 +51,7 @@ def removed_by_model(texts, window):
     return out
 
 
-@pytest.mark.parametrize("window", [20, 7, 2])
+@pytest.mark.parametrize("window", [20, 7, 2, 45])
 def test_passages(spark, window):
     texts = corpus()
     got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.dedup_substrings(make(spark, texts), window, True).collect()}
@@ -124,3 +124,42 @@ def test_lines_with_null_and_repeated_ids(spark):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_dropped) for r in line_dedup.dedup_lines(df).collect())
     assert got == [(False, 1, 1), (False, 2, 1), (False, 3, 1), (False, 9, 1), (False, 9, 1), (True, 0, 0)]
     assert line_dedup.dedup_lines(df.where("doc_id > 1")).agg(F.sum("n_dropped")).first()[0] == 0
+
+
+def test_levels_double():
+    assert substring_dedup.levels(20) == [5, 10, 20] and substring_dedup.levels(100) == [7, 13, 25, 50, 100] and substring_dedup.levels(2) == [1, 2]
+    for n in range(2, 300):
+        lengths = substring_dedup.levels(n)
+        assert lengths[-1] == n and all(a < b <= 2 * a for a, b in zip(lengths, lengths[1:]))
+
+
+@pytest.fixture()
+def in_two_steps(monkeypatch):
+    monkeypatch.setattr(_blocks.Exchange, "planned", staticmethod(lambda *_: _blocks.Exchange(11, 13, 3, 4)))
+
+
+def test_two_steps_give_the_same_rows(spark, in_two_steps):
+    texts = corpus()
+    got = {r.doc_id: tuple(r)[1:] for r in substring_dedup.dedup_substrings(make(spark, texts), 20, True).collect()}
+    assert got == dict(enumerate(removed_by_model(texts, 20)))
+    texts = line_corpus()
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in line_dedup.dedup_lines(make(spark, texts)).collect()}
+    assert got == {i: w[:3] for i, w in enumerate(line_model(texts, 40, 5))}
+    assert line_dedup.dedup_lines(make(spark, texts).limit(0)).count() == 0 and substring_dedup.dedup_substrings(make(spark, texts).limit(0)).count() == 0
+
+
+def test_rows_between_steps_hold_many_items():
+    """100 TB: no row for each pair of a block and a range."""
+    x = _blocks.Exchange.planned(100 << 40, 1.0, 10_000)
+    items = (100 << 40) / 16
+    assert x.blocks * x.groups < items / 200 and x.districts * x.ranges < items / 200
+    assert x.by_group * x.groups >= x.ranges and x.by_district * x.districts >= x.blocks
+    small = _blocks.Exchange.planned(1 << 30, 1.0, 32)
+    assert small.groups == 0
+
+
+def test_lines_of_tables_with_columns_that_are_never_null(spark):
+    rows = [(i, "one line that five documents share, of over forty", i * 2, ["a"]) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, rest int, block array<string>").withColumns({"part": F.lit(3), "key": F.struct(F.lit(1).alias("text"))})
+    out = line_dedup.without_shared_lines(df)
+    assert out.columns == df.columns and sorted((r.doc_id, r.text != "", r.rest, r.part, r.key.text) for r in out.collect()) == [(i, i == 5, 2 * i, 3, 1) for i in range(6)]

@@ -7,6 +7,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 #: Document ids that are null are ordered after all others, among themselves by a hash of the text.
 NULL_KEY_BASE = 1 << 62
@@ -17,9 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder that the session names; only where it names none, to a temporary one (local runs)."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="turnloom-"))
+    """Checkpoints go to the folder that the session names. Only a local master may go without: it gets a temporary one,
+    which other machines would not see.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="turnloom-"))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -38,3 +44,12 @@ def text_bytes(docs: DataFrame, text: str = "text") -> int:
 
 def blocks_for(n_bytes: int, target: int, least: int) -> int:
     return max(1, least, math.ceil(n_bytes / target))
+
+
+def nullable(kind: DataType) -> DataType:
+    """The type with every part of it nullable, as data that come back from Python are."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, nullable(f.dataType), True, f.metadata) for f in kind])
+    if isinstance(kind, ArrayType):
+        return ArrayType(nullable(kind.elementType))
+    return MapType(kind.keyType, nullable(kind.valueType)) if isinstance(kind, MapType) else kind

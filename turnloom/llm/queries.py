@@ -46,7 +46,7 @@ def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).drop("keep_bitmap")
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,8 +114,12 @@ ORACLES: dict[str, str] = {
         l AS (SELECT doc_id, unnest(w) AS line, unnest(range(1, len(w) + 1)) AS j FROM d),
         k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
         h AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-        m AS (SELECT k.*, coalesce(h.keeper <> k.doc_id, false) AS gone FROM k LEFT JOIN h ON k.key = h.key)
-        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY j) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
+        m AS (SELECT k.*, coalesce(h.keeper <> k.doc_id, false) AS gone FROM k LEFT JOIN h ON k.key = h.key),
+        i AS (SELECT doc_id, gone, j, j - row_number() OVER (PARTITION BY doc_id, gone ORDER BY j) AS island FROM m),
+        r AS (SELECT doc_id, gone, min(j) AS start, count(*) AS n FROM i GROUP BY doc_id, gone, island),
+        b AS (SELECT doc_id, CASE WHEN arg_min(gone, start) THEN '0,' ELSE '' END || string_agg(n, ',' ORDER BY start) AS keep_bitmap FROM r GROUP BY doc_id)
+        SELECT m.doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, any_value(keep_bitmap) AS keep_bitmap,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY j) FILTER (NOT gone), '')) AS kept_sha256 FROM m JOIN b ON m.doc_id = b.doc_id GROUP BY m.doc_id
     """,
     "op3_near_dup": r"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -1,19 +1,22 @@
 """Removal of word passages that occur earlier in the corpus, by level-wise doubling.
 
-Windows of half the wanted length are looked at first. Only those that occur at two places of the corpus are extended
-to twice that length; of these, all but the first occurrence lose their words. The first level sends not every window
-but, for each window of full length, the one of its half-length windows with the smallest hash: equal windows choose
-equal ones, so none is missed, and about a sixth of all positions is sent. There is one doubling whatever the wanted
-length: ``levels`` gives the half and the whole.
+Lengths double from about five words to the wanted one. At each length a window of the wanted length stands for itself
+by the one of its windows of that length with the smallest hash: equal windows choose equal ones, so none is missed,
+and only a fraction of all positions is sent. Windows whose chosen one occurs at one place of the corpus only are done
+with; the others are extended to twice that length, until no candidates survive or the wanted length is reached. Of
+windows that are repeated at that length, all but the first occurrence lose their words.
+
+A block without candidates sends nothing more and does not look at its texts again before the end.
 
 Defined results. Null text: no words. Null doc_id: kept, ordered after all ids, by a hash of the text. Several rows of
-one doc_id: separate texts, ordered by text. Texts shorter than a window lose nothing. Hashes are of 64 bits on the
-first level, where a collision only makes a candidate, and of 96 on the last.
+one doc_id: separate texts, ordered by text. Texts shorter than a window lose nothing. Words and windows are known by
+64-bit hashes; on the last level windows of different blocks are also told apart by 32 bits of other words' hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from itertools import compress
 
 import numpy as np
@@ -22,20 +25,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _words
-from ._blocks import ANSWER, PACKED, answers, deal, in_order, packed, received, unpacked
+from ._blocks import PACKED, Exchange, answers, deal, in_order, packed, received, unpacked
 
-WINDOW = 20
+WINDOW, SHORTEST = 20, 5
 _SHORT = np.dtype([("h", "<u8"), ("twice", "u1")])
 _LONG = np.dtype([("h", "<u8"), ("check", "<u4"), ("key", "<i8")])
 _HASH = np.dtype([("h", "<u8")])
-_LAST = np.uint64(2**64 - 1)
 
 
-def levels(window: int) -> tuple[int, int]:
-    """The half length, rounded up, and the length itself."""
+def levels(window: int) -> list[int]:
+    """Lengths from about SHORTEST words to the window, each at most twice the one before: 20 gives 5, 10, 20."""
     if window < 2:
         raise ValueError("a window has two words at least")
-    return (window + 1) // 2, window
+    out = [window]
+    while out[0] >= 2 * SHORTEST or len(out) == 1:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
 
 
 def _sliding(pick, x: np.ndarray, width: int) -> np.ndarray:
@@ -48,108 +53,142 @@ def _sliding(pick, x: np.ndarray, width: int) -> np.ndarray:
 
 
 class _Text:
-    """The words of a block's documents, their half-length windows and where full windows may start."""
+    """The words of a block's documents and where full windows may start."""
 
     def __init__(self, block: pa.Table, window: int):
         self.data, self.offsets = _words.buffers(block.column("text"))
         starts, ends, self.first = _words.spans(self.data, self.offsets)
-        self.n_words, (half, _) = np.diff(self.first), levels(window)
-        self.words = _words.hashes(self.data, starts, ends)
-        self.short = _words.windows(self.words, half)
+        self.n_words, self.window, self.length = np.diff(self.first), window, 1
+        self.words = self.hashes = _words.hashes(self.data, starts, ends)
         ends_at = np.repeat(self.first[1:], self.n_words)  # for each word, where its text ends
         n = max(0, len(self.words) - window + 1)
-        self.fits = np.arange(n) + window <= ends_at[:n]
-        # for every full window, the smallest hash of its half-length windows
-        width = window - half + 1
-        self.least = _sliding(np.minimum, self.short, width)[:n] if n else np.zeros(0, np.uint64)
-        self.window, self.width, self.step = window, width, window - half
+        self.alive = np.arange(n) + window <= ends_at[:n]
+
+    def extend(self, length: int) -> None:
+        """Hashes of the windows of this length, at most twice the one before."""
+        while self.length < length and len(self.hashes):
+            step = min(self.length, length - self.length)
+            self.hashes = _words.doubled(self.hashes, step) if len(self.hashes) > step else self.hashes[:0]
+            self.length += step
+        self.length = length
+
+    def chosen(self) -> np.ndarray:
+        """For every full window the smallest hash of its windows of the present length."""
+        return _sliding(np.minimum, self.hashes, self.window - self.length + 1)[: len(self.alive)]
 
     def anchors(self) -> np.ndarray:
-        """Hashes at all positions whose half-length window is the smallest of some full window."""
-        if not self.fits.any():
+        """Hashes at all positions that some full window still alive has chosen."""
+        if not self.alive.any():
             return np.zeros(0, np.uint64)
-        least = np.where(self.fits, self.least, np.uint64(0))
-        pad = np.zeros(self.width - 1, np.uint64)
-        most = _sliding(np.maximum, np.concatenate((pad, least, pad)), self.width)
-        return self.short[: len(most)][(self.short[: len(most)] == most) & (most > 0)]
-
-    def candidates(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of the full windows whose smallest half is repeated, and their hashes."""
-        if not len(repeated) or not len(self.least):
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        change = np.flatnonzero(np.concatenate(([True], self.least[1:] != self.least[:-1])))
-        there = np.searchsorted(repeated, self.least[change])
-        hit = repeated[np.minimum(there, len(repeated) - 1)] == self.least[change]
-        at = np.flatnonzero(np.repeat(hit, np.diff(np.append(change, len(self.least)))) & self.fits)
-        return at, _words.mix(self.short[at] * np.uint64(0xD6E8FEB86659FD93) + self.short[at + self.step] * np.uint64(0xA0761D6478BD642F))
-
-
-def _send_short(block: pa.Table, window: int, n_ranges: int) -> pa.Table:
-    got, count = np.unique(_Text(in_order(block), window).anchors(), return_counts=True)
+        width = self.window - self.length + 1
+        least = np.where(self.alive, self.chosen(), np.uint64(0))
+        pad = np.zeros(width - 1, np.uint64)
+        most = _sliding(np.maximum, np.concatenate((pad, least, pad)), width)
+        return self.hashes[: len(most)][(self.hashes[: len(most)] == most) & (most > 0)]
+
+    def keep(self, repeated: np.ndarray) -> None:
+        """Full windows stay alive whose chosen hash is among the sorted ones."""
+        if not len(repeated):
+            self.alive[:] = False
+        elif len(self.alive):
+            chosen = self.chosen()
+            self.alive &= repeated[np.minimum(np.searchsorted(repeated, chosen), len(repeated) - 1)] == chosen
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Full windows alive sorted by hash, then position: positions, hashes, and whether each is its hash's first in the block."""
+        self.extend(self.window)
+        at = np.flatnonzero(self.alive)
+        h = self.hashes[at]
+        order = np.argsort(h, kind="stable")
+        at, h = at[order], h[order]
+        return at, h, np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
+
+
+def _surviving(block: pa.Table, told: pa.Table, window: int, upto: int) -> _Text:
+    """The block's text with what is alive after the levels before number ``upto``; ``told`` has their answers."""
+    text, level = _Text(block, window), told.column("level").to_numpy()
+    for k, length in enumerate(levels(window)[:upto]):
+        text.extend(length)
+        text.keep(np.unique(received(told.filter(pa.array(level == k)), _HASH)["h"]))
+    return text
+
+
+_NOTHING = pa.table({"part": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
+
+
+def _send_short(block: pa.Table, told: pa.Table | None, window: int, level: int, exchange: Exchange) -> pa.Table:
+    """The block's candidates of one level, each hash once."""
+    if not block.num_rows or level and not (told.num_rows and (told.column("level").to_numpy() == level - 1).any()):
+        return _NOTHING
+    number, block = block.column("block")[0].as_py(), in_order(block)
+    text = _surviving(block, told, window, level) if level else _Text(block, window)
+    text.extend(levels(window)[level])
+    got, count = np.unique(text.anchors(), return_counts=True)
     records = np.empty(len(got), _SHORT)
     records["h"], records["twice"] = got, count > 1
-    return packed(block.column("block")[0].as_py(), records, n_ranges)
+    return packed(number, records, exchange)
+
+
+def _sender(window: int, level: int, exchange: Exchange) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    return lambda block, told: _send_short(block, told, window, level, exchange)
 
 
-def _find_repeated(part: pa.Table) -> pa.Table:
+def _find_repeated(part: pa.Table, exchange: Exchange) -> pa.Table:
     """To each block its own hashes that occur twice, in it or in several blocks."""
-    records, rows = unpacked(part, _SHORT)
+    records, origin = unpacked(part, _SHORT, exchange)
     order = np.argsort(records["h"], kind="stable")
-    records, rows = records[order], rows[order]
+    records, origin = records[order], origin[order]
     same = records["h"][1:] == records["h"][:-1]
     keep = records["twice"].astype(bool)
     keep[1:] |= same
     keep[:-1] |= same
     out = np.empty(int(keep.sum()), _HASH)
     out["h"] = records["h"][keep]
-    return answers(part, out, rows[keep])
+    return answers(part, out, origin[keep], exchange)
 
 
-def _local_firsts(text: _Text, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidates sorted by hash, then position: positions, hashes, and whether each is its hash's first in the block."""
-    at, h = text.candidates(repeated)
-    order = np.argsort(h, kind="stable")
-    at, h = at[order], h[order]
-    return at, h, np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
-
-
-def _send_long(block: pa.Table, told: pa.Table, window: int, n_ranges: int) -> pa.Table:
-    if not block.num_rows or not told.num_rows:
-        return pa.table({"part": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
-    block = in_order(block)
-    text = _Text(block, window)
-    at, h, first = _local_firsts(text, np.unique(received(told, _HASH)["h"]))
+def _send_long(block: pa.Table, told: pa.Table, window: int, exchange: Exchange) -> pa.Table:
+    """The first occurrence in the block of each full window that is alive, with its document."""
+    last = len(levels(window)) - 1
+    if not block.num_rows or not (told.num_rows and (told.column("level").to_numpy() == last - 1).any()):
+        return _NOTHING
+    number, block = block.column("block")[0].as_py(), in_order(block)
+    text = _surviving(block, told, window, last)
+    at, h, first = text.candidates()
     at, h = at[first], h[first]
     records = np.empty(len(h), _LONG)
     check = text.words[at] * np.uint64(31) + text.words[at + window // 2] * np.uint64(37) + text.words[at + window - 1]
     records["h"], records["check"] = h, (_words.mix(check) >> np.uint64(32)).astype(np.uint32)
     records["key"] = block.column("key").to_numpy()[np.searchsorted(text.first, at, "right") - 1]
-    return packed(block.column("block")[0].as_py(), records, n_ranges)
+    return packed(number, records, exchange)
 
 
-def _find_later(part: pa.Table) -> pa.Table:
+def _find_later(part: pa.Table, exchange: Exchange) -> pa.Table:
     """To each block the windows that a smaller document of another block holds."""
-    records, rows = unpacked(part, _LONG)
+    records, origin = unpacked(part, _LONG, exchange)
     order = np.lexsort((records["key"], records["check"], records["h"]))
-    records, rows = records[order], rows[order]
+    records, origin = records[order], origin[order]
     later = np.zeros(len(records), bool)
     later[1:] = (records["h"][1:] == records["h"][:-1]) & (records["check"][1:] == records["check"][:-1])
     out = np.empty(int(later.sum()), _HASH)
     out["h"] = records["h"][later]
-    return answers(part, out, rows[later])
-
-
-def _remove(block: pa.Table, told: pa.Table, later: pa.Table, window: int, with_text: bool) -> pa.Table:
-    block = in_order(block)
-    text = _Text(block, window)
+    return answers(part, out, origin[later], exchange)
+
+
+def _remove(block: pa.Table, told: pa.Table, window: int, with_text: bool) -> pa.Table:
+    """Kept words of each document; the answers of the last level are the windows that an earlier document holds."""
+    block, last = in_order(block), len(levels(window)) - 1
+    level = told.column("level").to_numpy()
+    if (level == last - 1).any():
+        text = _surviving(block, told, window, last)
+        at, h, first = text.candidates()
+    else:
+        text, at = _Text(block, window), np.zeros(0, np.int64)
     gone = np.zeros(len(text.words) + 1, np.int64)
-    if told.num_rows:
-        at, h, first = _local_firsts(text, np.unique(received(told, _HASH)["h"]))
-        earlier = np.unique(received(later, _HASH)["h"])
-        drop = ~first
-        if len(earlier) and len(h):
-            there = np.minimum(np.searchsorted(earlier, h), len(earlier) - 1)
-            drop |= earlier[there] == h
+    if len(at):
+        earlier, drop = np.unique(received(told.filter(pa.array(level == last)), _HASH)["h"]), ~first
+        if len(earlier):
+            drop |= earlier[np.minimum(np.searchsorted(earlier, h), len(earlier) - 1)] == h
         np.add.at(gone, at[drop], 1)
         np.add.at(gone, at[drop] + window, -1)
     gone = np.cumsum(gone[:-1]) > 0
@@ -169,19 +208,21 @@ def _remove(block: pa.Table, told: pa.Table, later: pa.Table, window: int, with_
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (words joined by one space).
 
-    Three passes read the documents, dealt to blocks once; see ``_blocks`` for what goes between them.
+    Every level and the end read the documents, dealt to blocks once; see ``_blocks`` for what goes between them.
     """
-    half, _ = levels(window)
-    dealt, n_ranges = deal(docs, 1.0)
+    last = len(levels(window)) - 1
+    dealt, exchange = deal(docs, 1.0)
     by_block = dealt.groupBy("block")
-    told = by_block.applyInArrow(lambda t: _send_short(t, window, n_ranges), PACKED).groupBy("part").applyInArrow(_find_repeated, ANSWER)
-    told = told.select("block", "payload", F.lit(0).alias("level"))
-    sent = by_block.cogroup(told.groupBy("block")).applyInArrow(lambda t, x: _send_long(t, x, window, n_ranges), PACKED)
-    later = sent.groupBy("part").applyInArrow(_find_later, ANSWER).select("block", "payload", F.lit(1).alias("level"))
 
-    def finish(block: pa.Table, x: pa.Table) -> pa.Table:
-        level = x.column("level").to_numpy()
-        return _remove(block, x.filter(pa.array(level == 0)), x.filter(pa.array(level == 1)), window, with_text)
+    def at(level: int, sent: DataFrame, kind: np.dtype, decide) -> DataFrame:
+        ranges = exchange.to_ranges(sent, kind).groupBy("part")
+        return exchange.to_blocks(ranges.applyInArrow(lambda t: decide(t, exchange), PACKED), _HASH).withColumn("level", F.lit(level))
 
+    told = at(0, by_block.applyInArrow(lambda t: _send_short(t, None, window, 0, exchange), PACKED), _SHORT, _find_repeated)
+    for level in range(1, last):
+        sent = by_block.cogroup(told.groupBy("block")).applyInArrow(_sender(window, level, exchange), PACKED)
+        told = told.unionByName(at(level, sent, _SHORT, _find_repeated))
+    sent = by_block.cogroup(told.groupBy("block")).applyInArrow(lambda t, x: _send_long(t, x, window, exchange), PACKED)
+    told = told.unionByName(at(last, sent, _LONG, _find_later))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return by_block.cogroup(told.unionByName(later).groupBy("block")).applyInArrow(finish, schema)
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(lambda t, x: _remove(t, x, window, with_text), schema)
