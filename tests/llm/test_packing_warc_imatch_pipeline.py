@@ -1,8 +1,10 @@
 """Packing, fixity audits, fingerprints and the pipeline."""
 
 import hashlib
+import math
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -75,6 +77,50 @@ def test_records_and_files_agree(spark, pages, tmp_path):
     assert [x for _, _, x in warc.parse_warc(packed)] == [b"one", b"two"]
 
 
+def record(n, body):
+    return b"WARC/1.1\r\nContent-Length: %s\r\n\r\n" % n + body + b"\r\n\r\n"
+
+
+def test_damaged_archives_are_read_to_the_end():
+    good = [record(b"%d" % len(b), b) for b in (b"a" * 50, b"b\r\n\r\nb" * 9, b"", b"c" * 500)]
+    whole = b"".join(good)
+    for bad in (record(b"abc", b"x" * 29), record(b"-37", b"x" * 29), record(b"9" * 30, b"x"), record(b"28", b"x" * 29), record(b"99999", b"x"), record(b"", b"x"), b"junk without a head\r\n\r\n"):
+        for k in range(len(good) + 1):
+            parts = good[:k] + [bad] + good[k:]
+            got = list(warc.parse_warc(b"".join(parts)))
+            if k or bad.startswith(b"WARC"):
+                assert [r for _, _, r in got] == parts
+            assert [o + n for o, n, _ in got][:-1] == [o for o, _, _ in got][1:] and b"".join(r for _, _, r in got) == b"".join(parts)
+    packed = [warc.compressed([r]) for r in good]
+    for k in range(len(packed)):
+        hurt = bytearray(packed[k])
+        hurt[len(hurt) // 2] ^= 255
+        got = list(warc.parse_warc(b"".join(packed[:k]) + bytes(hurt) + b"".join(packed[k + 1 :])))
+        assert [r for _, _, r in got] == good[:k] + [bytes(hurt)] + good[k + 1 :]
+    got = list(warc.parse_warc(b"".join(packed)[:-3]))
+    assert [r for _, _, r in got] == good[:-1] + [packed[-1][:-3]] and list(warc.parse_warc(b"")) == [] and len(whole)
+
+
+def test_archives_are_read_in_linear_time():
+    import time
+
+    rng = random.Random(1)
+    packed = warc.compressed([record(b"900", rng.randbytes(900)) for _ in range(20_000)])
+    begun = time.process_time()
+    assert sum(1 for _ in warc.parse_warc(packed)) == 20_000
+    assert time.process_time() - begun < 10
+
+
+def test_audit_of_clashing_columns_and_repeated_pages(spark):
+    rows = [(1, "u", "h", "a", 5), (1, "u", "h", "a", 5), (1, "v", "h2", "b", 6), (None, "u", "h", "c", 7)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, archive string, offset int").withColumn("digest", F.lit("d")).withColumn("record", F.lit("r"))
+    records = warc.records_of_pages(pages)
+    assert records.count() == 4 and records.select("archive", "offset").distinct().count() == 4
+    bad = records.withColumn("digest", F.when(F.col("offset") == 0, "x").otherwise(F.col("digest")))
+    assert {r.status for r in warc.audit(records, bad).collect()} == {"corrupt"} and warc.audit(records, records).count() == 0
+    assert warc.audit(warc.records_of_pages(pages.limit(0)), records).where("status = 'extra'").count() == 4
+
+
 def test_audit_names_exactly_the_faults(spark, pages):
     records = warc.records_of_pages(pages).drop("record")
     assert warc.audit(records, records).count() == 0
@@ -116,6 +162,51 @@ def test_fingerprints(spark):
     assert mean("near_edited") > mean("near_next")
 
 
+def model_terms(text):
+    return [t for t in re.split(r"[^\w]+|_+", text.lower()) if t]
+
+
+def test_fingerprints_match_a_plain_model(spark, monkeypatch):
+    """Lexicon, subsets and their hashes, looked up or joined; terms here are ASCII."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(200)]
+    texts = ["".join(w + rng.choice([" ", ", ", "!\n"]) for w in rng.choices(words, k=rng.randint(1, 90))) for _ in range(120)] + ["!leads and trails.", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sets = [set(model_terms(t or "")) for t in texts]
+    low, high = math.ceil(len(texts) * math.exp(-5)), math.floor(len(texts) * math.exp(-1))
+    df_of = Counter(t for s in sets for t in s)
+    lexicon = {t for t, n in df_of.items() if max(2, low) <= n <= high}
+    hash_of = {r.t: r.h for r in spark.createDataFrame([(t,) for t in df_of], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    lists, places = [], []
+    for i, s in enumerate(sets):
+        known = sorted(hash_of[t] for t in s & lexicon)
+        for k, (bit, bits, subsets) in enumerate(imatch.DENSITIES):
+            for j in range(subsets):
+                some = [h for h in known if h % 2**64 >> bit & 2**bits - 1 == j]
+                lists.append((i, len(places), some, j, k))
+                places.append((k, j))
+    rows = spark.createDataFrame(lists, "i int, n int, c array<bigint>, j bigint, k int").select("i", "n", F.size("c").alias("size"), F.xxhash64("c", "j", "k").alias("h")).orderBy("n").collect()
+    want = defaultdict(list)
+    for r in rows:
+        want[r.i].append(f"{r.h % 2**32:08x}" if r["size"] else "-")
+    want = {i: ",".join(x) if set(x) != {"-"} else hashlib.sha256((texts[i] or "").encode()).hexdigest() for i, x in want.items()}
+    got = {r.doc_id: tuple(r) for r in imatch.fingerprint_documents(df).collect()}
+    assert {i: r[3] for i, r in got.items()} == want and any(len(x) > 64 for x in want.values())
+    monkeypatch.setattr(imatch, "LOOKUP", 3)
+    assert {r.doc_id: tuple(r) for r in imatch.fingerprint_documents(df).collect()} == got
+
+
+def test_fingerprints_without_a_lexicon(spark):
+    df = spark.createDataFrame([(1, "!alpha one"), (2, "!beta two"), (3, "gamma three!"), (4, "delta")], "doc_id long, text string")
+    got = {r.doc_id: r for r in imatch.fingerprint_documents(df).collect()}
+    assert all(r.fingerprint == hashlib.sha256(t.encode()).hexdigest() and r.near_next == 0.0 for (_, t), r in zip(df.orderBy("doc_id").collect(), (got[i] for i in (1, 2, 3, 4))))
+
+
+def test_fingerprints_of_a_very_long_text(spark):
+    df = spark.createDataFrame([(1, "w x " * 400_000), (2, "y " * 10), (3, None)], "doc_id long, text string")
+    assert sorted(r.n_chars for r in imatch.fingerprint_documents(df).collect()) == [0, 20, 1_600_000]
+
+
 def test_fingerprint_edge_cases(spark):
     one = spark.createDataFrame([(None, "abcd")], "doc_id long, text string")
     r = imatch.fingerprint_documents(one).first()

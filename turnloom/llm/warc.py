@@ -10,7 +10,7 @@ A leaf holds at most RANGE_BYTES / 100 records, a node at most 16 children, so e
 tree's height comes to the driver.
 
 Defined results. Null html or url: empty. A null page_id belongs to archive ``none-<hash>``, dealt by a hash of the page.
-Pages of one page_id are ordered by digest. Several records at one offset are compared as the sorted list of their digests.
+Pages of one page_id are ordered by digest; repeated rows are records of their own. Several records at one offset are compared as the sorted list of their digests.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import io
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -49,39 +50,86 @@ def records_of_pages(pages: DataFrame, per_archive: int = RECORDS) -> DataFrame:
     return out.withColumn("offset", F.sum("length").over(so_far) - F.col("length"))
 
 
+_MEMBER, _RECORD, _END, _CHUNK = b"\x1f\x8b\x08", b"\r\n\r\nWARC/", b"\r\n\r\n", 1 << 16
+
+
 def parse_warc(data: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """Offset, length and bytes of each record of an archive, plain or compressed record by record."""
-    if data[:2] == b"\x1f\x8b":
-        at = 0
-        while at < len(data):
-            member = zlib.decompressobj(31)
-            content = member.decompress(data[at:]) + member.flush()
-            size = len(data) - at - len(member.unused_data)
-            yield at, size, content
-            at += size
-        return
+    """Offset, length and bytes of each record of an archive, plain or compressed record by record.
+
+    What is damaged (a member that does not decompress, a record without a proper length or end) is one record of its raw
+    bytes, up to where the next one begins. Linear in the size of the archive.
+    """
+    return _members(data) if data[:2] == _MEMBER[:2] else _records(data)
+
+
+def _inflated(data: bytes, at: int, most: int = 0) -> tuple[bytes, int] | None:
+    """The member at a place and where it ends, or its first ``most`` bytes; None if it is damaged or cut off."""
+    view, member, out, place = memoryview(data), zlib.decompressobj(31), [], at
+    try:
+        while not member.eof and place < len(data):
+            out.append(member.decompress(view[place : place + _CHUNK], most))
+            place += _CHUNK
+            if most and out[-1]:
+                return out[-1], place
+    except zlib.error:
+        return None
+    return (b"".join(out), min(place, len(data)) - len(member.unused_data)) if member.eof else None
+
+
+def _members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
     at = 0
     while at < len(data):
-        head = data.find(b"\r\n\r\n", at)
-        if head < 0:
-            yield at, len(data) - at, data[at:]
-            return
-        size = next((int(x.split(b":", 1)[1]) for x in data[at:head].split(b"\r\n") if x.lower().startswith(b"content-length:")), 0)
-        end = min(len(data), head + 4 + size + 4)
+        if (found := _inflated(data, at)) is not None:
+            content, end = found
+        else:
+            end = data.find(_MEMBER, at + 1)
+            while end >= 0 and not ((head := _inflated(data, end, 5)) and head[0] == b"WARC/"):
+                end = data.find(_MEMBER, end + 1)
+            end = len(data) if end < 0 else end
+            content = data[at:end]
+        yield at, end - at, content
+        at = end
+
+
+def _length(head: bytes) -> int | None:
+    """The Content-Length of a record's head, if it is a whole number."""
+    for line in head.split(b"\r\n"):
+        name, _, value = line.partition(b":")
+        if name.strip().lower() == b"content-length":
+            value = value.strip()
+            return int(value) if value.isdigit() and len(value) < 19 else None
+    return None
+
+
+def _records(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    at = 0
+    while at < len(data):
+        end, head = -1, data.find(_END, at) if data.startswith(_RECORD[4:], at) else -1
+        if head >= 0 and (size := _length(data[at:head])) is not None:
+            end = head + 4 + size + 4
+        if end < 0 or end > len(data) or data[end - 4 : end] != _END:
+            end = data.find(_RECORD, at + 1) + 4
+            end = len(data) if end < 4 else end
         yield at, end - at, data[at:end]
         at = end
 
 
 def scan_warc(spark: SparkSession, path: str) -> DataFrame:
-    """archive, offset, length, digest of the records of WARC files; a task holds one file (by custom about 1 GB)."""
+    """archive, offset, length, digest of the records of WARC files. A task holds one file, by custom of about 1 GB at
+    most; Spark reads no file of over 2 GB so. Archives are known by their name without the folder.
+    """
     import hashlib
 
+    def table(name: str, rows: list[tuple[int, int, str]]) -> pa.RecordBatch:
+        o, n, d = zip(*rows) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(o, pa.int64()), pa.array(n, pa.int64()), pa.array(d, pa.string())], ["archive", "offset", "length", "digest"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, data in zip(batch.column("archive").to_pylist(), batch.column("content").to_pylist()):
-                rows = [(o, n, hashlib.sha256(r).hexdigest()) for o, n, r in parse_warc(data)]
-                o, n, d = zip(*rows) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(o, pa.int64()), pa.array(n, pa.int64()), pa.array(d, pa.string())], ["archive", "offset", "length", "digest"])
+            for i, name in enumerate(batch.column("archive").to_pylist()):
+                records = parse_warc(batch.column("content")[i].as_py())
+                while rows := [(o, n, hashlib.sha256(r).hexdigest()) for o, n, r in islice(records, 10_000)]:
+                    yield table(name, rows)
 
     files = spark.read.format("binaryFile").load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content").mapInArrow(run, "archive string, offset long, length long, digest string")
