@@ -119,6 +119,45 @@ def test_top_k_matches_brute_force(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_grid_bounds_copies_and_groups():
+    for n, asked, dim, tasks in ((10**9, 10**7, 768, 10_000), (500, 5, 64, 8), (10**6, 10**6, 128, 200), (0, 0, 1, 8)):
+        groups, strips = topk.grid(n, asked, dim, tasks)
+        rows = topk.rows_of_block(dim)
+        assert groups * strips >= min(tasks, max(1, -(-n // rows)) * max(1, -(-asked // rows))) and -(-n // groups) * dim * 8 <= 2 * topk.GROUP_BYTES
+    assert topk.rows_of_block(4096) * 4096 * 8 <= topk.BLOCK_BYTES
+
+
+def test_a_query_block_carries_its_best_over_blocks(monkeypatch):
+    """k rows a query and group, whatever the number of blocks; ties to the smaller id."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    q, c = rng.integers(-9, 10, (6, 3)), rng.integers(-9, 10, (6, 400))
+    rows = [{"dim": 6, "q_ids": np.arange(3).astype("<i8").tobytes(), "q_matrix": np.ascontiguousarray(q, "<i8").tobytes(), "ids": np.arange(i, i + 50).astype("<i8").tobytes(), "matrix": np.ascontiguousarray(c[:, i : i + 50], "<i8").tobytes()} for i in range(0, 400, 50)]
+    out = pa.Table.from_batches(topk._search(5)(iter([pa.RecordBatch.from_pylist(rows[:3]), pa.RecordBatch.from_pylist(rows[3:])]))).to_pylist()
+    assert len(out) == 15
+    for own in range(3):
+        full = c.T @ q[:, own]
+        want = sorted((-s, i) for i, s in enumerate(full.tolist()) if i != own)[:5]
+        assert [(-r["score"], r["vec_id"]) for r in out if r["query_id"] == own] == want
+
+
+def test_one_large_star_is_met_in_parts(spark, monkeypatch):
+    """Copies of one text, all in one bucket: no task has a third of them."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    texts = {i: " ".join([*base[:-1], f"x{i}"]) for i in range(600)}
+    texts |= {1000 + i: " ".join(rng.choices(base, k=40)) for i in range(100)} | {2000: None, 2001: "long " * 200_000}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6)
+    seen = []
+    spread = near_dup._spread
+    monkeypatch.setattr(near_dup, "_spread", lambda pivots, stars: seen.append(stars) or spread(pivots, stars))
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
+    assert got == classes(texts)
+    parts = [r["count"] for r in seen[0].groupBy("a", "salt").count().collect()]
+    assert max(parts) <= 4 * near_dup.STAR and sum(parts) >= 500
+
+
 def test_bounds_never_lose_a_candidate():
     rng = np.random.default_rng(5)
     for k in (1, 3, 10):

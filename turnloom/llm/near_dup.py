@@ -9,7 +9,8 @@ How candidates are found without all pairs of a bucket: buckets of at most ``SMA
 larger one every member is compared with the smallest member, its pivot, and keeps the items in which they differ.
 Where a pivot then has members outside its class, these are compared with its other members, chunk by chunk and
 exactly, from the items in which both differ from the pivot; a row is made for each member and other class it is linked
-to, not for each pair. So no bucket is cut short, and copies cost one row each.
+to, not for each pair. So no bucket is cut short, and copies cost one row each. A large star is met in parts of about
+``STAR`` members, each with a copy of the pivot's text; hashes that a large share of all rows holds go to every task.
 
 With 32 bands of 5 registers a pair at similarity 0.8 shares no band with a chance of 3e-6; one of a small bucket is
 estimated under ``ESTIMATE``, and then not verified, with about 1e-6.
@@ -28,13 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _words
-from ._common import document_key, with_checkpoints
+from ._common import document_key, shuffle_partitions, with_checkpoints
 from .bagminhash import bands, short_registers, signatures
 from .components import connected_components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 5
-SMALL, CHUNK, CHUNK_BYTES, ESTIMATE = 16, 2048, 4 << 20, 0.65
+SMALL, STAR, CHUNK, CHUNK_BYTES, ESTIMATE = 16, 64, 2048, 4 << 20, 0.65
 _GROUP_BYTES = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -159,10 +160,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "b").join(two, "a").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-_COMPARED = "a long, b long, n_a int, lost int, n_b int, apart binary"
+def _spread(pivots: DataFrame, stars: DataFrame) -> DataFrame:
+    """Rows of pivots, for every salt under which they are met: a large star is met in ``copies`` parts."""
+    met = stars.select("a", "copies").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    return met.join(pivots, "a")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+_AT = ["a", "copies", "salt"]
+_COMPARED = "a long, copies int, salt int, b long, n_a int, lost int, n_b int, apart binary"
+
+
+def _compared(stars: DataFrame, texts: DataFrame) -> DataFrame:
     """For pivots a and members b: sizes of both multisets, how many of a's items b lacks, and the items that only one of them has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,11 +184,11 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 lost, added = np.setdiff1d(one, two, True), np.setdiff1d(two, one, True)
                 rows.append((len(one), len(lost), len(two), np.concatenate((lost, added)).tobytes()))
             columns = list(zip(*rows)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(c, pa.int32()) for c in columns[:3]), pa.array(columns[3], pa.binary())], ["a", "b", "n_a", "lost", "n_b", "apart"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*_AT, "b")), *(pa.array(c, pa.int32()) for c in columns[:3]), pa.array(columns[3], pa.binary())], [*_AT, "b", "n_a", "lost", "n_b", "apart"])
 
     one = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-    two = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-    return pairs.join(one, "b").join(two, "a").select("a", "b", "ta", "tb").mapInArrow(run, _COMPARED)
+    two = _spread(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), stars)
+    return stars.join(one, "b").join(two, _AT).select(*_AT, "b", "ta", "tb").mapInArrow(run, _COMPARED)
 
 
 def _similarity_to_pivot() -> Column:
@@ -238,23 +246,37 @@ def _across(similarity: float):
     return run
 
 
+def _with_counted(rows: DataFrame, table: DataFrame, keys: list[str], n_rows: int) -> DataFrame:
+    """Inner join with a table of one short row a key, whose ``n`` says how many of the rows hold the key.
+
+    Keys of more than n_rows / (4 x partitions) rows, of which there are at most 4 x partitions, go to every task; the
+    others meet in a shuffle, in which none of them is large.
+    """
+    limit = n_rows // (4 * shuffle_partitions(rows.sparkSession))
+    large = F.broadcast(table.where(F.col("n") > limit))
+    others = rows.join(large.select(*keys), keys, "left_anti").join(table.where(F.col("n") <= limit), keys)
+    return rows.join(large, keys).unionByName(others)
+
+
 def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """key and class_id (the smallest key of its class) of every document that has words, one row for each key."""
     spark = docs.sparkSession
     with_checkpoints(spark)
     texts = docs.select(document_key().alias("key"), F.col("text").cast("string").alias("text"))
     signed = sign(docs).checkpoint()
-    firsts = signed.groupBy("exact1", "exact2").agg(F.min("key").alias("first"))
-    copies = signed.select("key", "exact1", "exact2").join(firsts, ["exact1", "exact2"]).select("key", "first").distinct().checkpoint()
+    firsts = signed.groupBy("exact1", "exact2").agg(F.min("key").alias("first"), F.count("*").alias("n"))
+    copies = _with_counted(signed.select("key", "exact1", "exact2"), firsts, ["exact1", "exact2"], signed.count()).select("key", "first").distinct().checkpoint()
     distinct = signed.join(copies.where("key = first").select("key"), "key", "left_semi").dropDuplicates(["key"]).select("key", "bands", "registers").checkpoint()
     exploded = distinct.select("key", F.explode("bands").alias("band"))
-    sizes = exploded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).where("n > 1")
-    members = exploded.join(sizes, "band").checkpoint()
+    sizes = exploded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).where("n > 1").checkpoint()
+    members = _with_counted(exploded, sizes, ["band"], BANDS * distinct.count()).checkpoint()
     pairs_of = lambda rows: rows.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))
     small = members.where(F.col("n") <= SMALL)
     within = small.where("n > 2").select("band", F.col("key").alias("a")).join(small.where("n > 2").select("band", F.col("key").alias("b")), "band").where("a < b").select("a", "b")
     own = texts.join(distinct.select("key"), "key", "left_semi")
-    stars = pairs_of(members.where(F.col("n") > SMALL)).distinct()
+    large = members.where((F.col("n") > SMALL) & (F.col("key") != F.col("pivot")))
+    parts = F.pow(F.lit(2), F.greatest(F.ceil(F.log2(F.max("n") / F.lit(STAR))), F.lit(0))).cast("int")
+    stars = large.groupBy(F.col("pivot").alias("a"), F.col("key").alias("b")).agg(parts.alias("copies")).withColumn("salt", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int"))
     compared = _compared(stars, own).withColumn("similarity", _similarity_to_pivot()).checkpoint()
     found = _verified(_near(pairs_of(small).unionByName(within).distinct(), distinct), own, similarity)
     links = found.unionByName(compared.where(F.col("similarity") >= similarity).select("a", "b")).checkpoint()
@@ -262,15 +284,15 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
 
     # where members of a larger bucket are outside the class of its smallest: these against all that can be near them
     of = lambda side, name: labels.select(F.col("node").alias(side), F.col("component").alias(name))
-    groups = compared.join(of("b", "component"), "b", "left").join(of("a", "main"), "a", "left").withColumn("component", F.coalesce("component", "b")).withColumn("outside", F.col("component") != F.coalesce("main", "a"))
+    groups = compared.join(of("b", "component"), "b", "left").join(_spread(of("a", "main"), compared), _AT, "left").withColumn("component", F.coalesce("component", "b")).withColumn("outside", F.col("component") != F.coalesce("main", "a"))
     mixed = groups.where("outside").groupBy("a").agg(F.max("similarity").alias("nearest"))
     # distances obey the triangle inequality: a link reaches members at most 1 - similarity nearer to the pivot
     reach = F.col("outside") | (F.col("similarity") <= F.col("nearest") + (1 - similarity) + 1e-9)
-    open_groups = groups.join(mixed, "a").where(reach).checkpoint()
+    open_groups = groups.join(_spread(mixed, compared), _AT).where(reach).checkpoint()
     if open_groups.limit(1).count():
         size = F.greatest(F.ceil(F.count("*") / F.lit(CHUNK)), F.ceil(F.sum(F.octet_length("apart")) / F.lit(CHUNK_BYTES)))
         chunks = open_groups.groupBy("a").agg(size.cast("int").alias("chunks"))
-        chunked = open_groups.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
+        chunked = open_groups.join(_spread(chunks, open_groups), _AT).withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
         others = _blocks(chunked).select("a", F.col("chunk").alias("meets"), *(F.col(c).alias(f"o_{c}") for c in _PARTS))
         asked = _blocks(chunked.where("outside")).join(chunks, "a").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         more = asked.join(others, ["a", "meets"]).select("n_a", *_PARTS, *(f"o_{c}" for c in _PARTS)).mapInArrow(_across(similarity), "a long, b long").distinct()
