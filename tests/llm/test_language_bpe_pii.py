@@ -78,17 +78,12 @@ def model_profile(texts, size):
     for text in texts:
         letters = "".join(c if c.isalpha() else "\0" for c in (text or "").lower())
         marked = "\0" + "\0".join(x for x in letters.split("\0") if x) + "\0"
-        table = language_id.char_classes()
-        c = [int(table[ord(x)]) for x in marked]
-        for i in range(len(c)):
-            if c[i]:
-                counts[c[i] | 1 << 22] = counts.get(c[i] | 1 << 22, 0) + 1
-            if i + 1 < len(c) and (c[i] or c[i + 1]):
-                code = c[i] << 7 | c[i + 1] | 1 << 21
-                counts[code] = counts.get(code, 0) + 1
-            if i + 2 < len(c) and c[i + 1]:
-                code = c[i] << 14 | c[i + 1] << 7 | c[i + 2]
-                counts[code] = counts.get(code, 0) + 1
+        for i in range(len(marked)):
+            for n in (1, 2, 3):
+                some = marked[i : i + n]
+                if len(some) == n and "\0" not in some[1:-1] and some.strip("\0"):
+                    code = sum((ord(c) if c else 2**21 - 1) << 21 * (2 - k) for k, c in enumerate([*some, "", ""][:3]))
+                    counts[code] = counts.get(code, 0) + 1
     return [k for k, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]]
 
 
@@ -111,6 +106,35 @@ def test_profiles_and_distances_match_a_plain_model(spark):
         assert lang == best and s == pytest.approx((second - far[best]) / second if second else 0)
 
 
+def test_slices_lose_no_ngram(monkeypatch):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abc漢字éü.  \n") for _ in range(rng.randint(0, 40))) for _ in range(12)] + ["x" * 50, "ab, " * 9, None, "", "漢" * 33 + "!" + "字" * 31]
+    want = [language_id._document_counts([t]) for t in texts]
+    for size in (1, 2, 3, 7, 32, 1000):
+        monkeypatch.setattr(language_id, "SLICE", size)
+        for t, (_, code, n) in zip(texts, want):
+            _, c, m = language_id._document_counts([t])
+            assert c.tolist() == code.tolist() and m.tolist() == n.tolist()
+        owner, code, n = language_id._document_counts(texts)
+        for i, w in enumerate(want):
+            assert code[owner == i].tolist() == w[1].tolist() and n[owner == i].tolist() == w[2].tolist()
+
+
+def test_ngrams_of_many_alphabets_and_counts_are_exact():
+    text = "".join(chr(i) for i in range(0x110000) if chr(i).isalpha() and not 0xD800 <= i < 0xE000)
+    owner, code, n = language_id._document_counts(["aa", text.lower(), "b"])
+    assert len(code[owner == 1]) > 250_000 and sorted(n[owner == 0].tolist()) == [1, 1, 1, 1, 1, 2]
+    _, code, n = language_id._document_counts(["z " * (2**20 + 5)])
+    assert n.max() == 2**20 + 5
+
+
+def test_language_of_repeated_rows_and_clashing_columns(spark):
+    rows = [(1, "the cat and the dog", "en", 5), (1, "the cat and the dog", "en", 5), (2, "der Hund und die Katze", "de", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int").withColumns({"lang_pred": F.lit("x"), "_text": F.lit(3), "held_out": F.lit("h")})
+    got = language_id.learn_and_identify(docs, ["lang_pred", "_text", "score"]).collect()
+    assert len(got) == 3 and all((r.keep_lang_pred, r.keep__text) == ("x", 3) and r.keep_score in (5, 6) for r in got)
+
+
 def test_language_is_predicted_for_documents_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.learn_and_identify(docs, ["lang"]).collect()

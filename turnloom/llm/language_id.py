@@ -6,8 +6,8 @@ distance of a document to a language is the sum, over the document's n-grams, of
 most ``PROFILE`` each; the nearest language is predicted.
 
 Defined results. Null text, or one without a letter: ``und``, score 0; so is everything if no language was learned.
-Ties: the smaller name. Characters outside a-z share 101 classes by code point. A run of letters over ``SLICE``
-characters is cut. Score: the gap between the two nearest languages over the second distance; with one language, one
+Ties: the smaller name. An n-gram is known by the code points of its characters. Texts are read in slices of about
+``SLICE`` characters, which lose and double no n-gram. Score: the gap between the two nearest languages over the second distance; with one language, one
 minus the distance over its maximum.
 """
 
@@ -27,85 +27,124 @@ from ._common import document_key
 
 PROFILE, SLICE, GROUP_BYTES, FARTHEST = 300, 1 << 19, 1 << 20, 0.95
 STEPS, LEAST, ALL = 1000, 10, 3
-_CODE_BITS = 23
-_CODES = (1 << _CODE_BITS) - 1
-_classes: list[np.ndarray] = []
-
-
-def char_classes() -> np.ndarray:
-    """For every code point 0 (no letter), 1 to 26 (a-z) or 27 to 127."""
-    if not _classes:
-        table = np.zeros(0x110000, np.uint8)
-        letters = np.array([i for i in range(0x110000) if chr(i).isalpha()])
-        table[letters] = 27 + letters % 101
-        table[97:123] = np.arange(1, 27)
-        _classes.append(table)
-    return _classes[0]
-
-
-def _codes(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all n-grams and the positions where they start; boundaries stand at ends only."""
-    c = classes.astype(np.int64)
-    letter = c > 0
-    one = np.flatnonzero(letter)
-    two = np.flatnonzero(letter[:-1] | letter[1:])
-    three = np.flatnonzero(letter[1:-1])
-    codes = np.concatenate((c[one] | 1 << 22, c[two] << 7 | c[two + 1] | 1 << 21, c[three] << 14 | c[three + 1] << 7 | c[three + 2]))
-    return codes, np.concatenate((one, two, three))
-
+#: Bits of a character in a code of three; the boundary mark is 0, and _NONE stands where an n-gram has ended.
+_BITS, _NONE = 21, (1 << 21) - 1
+_letters: list[np.ndarray] = []
 
-def _counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if counts is None:
-        keys = np.sort(keys)
-    else:
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    sums = np.diff(np.append(first, len(keys))) if counts is None else np.add.reduceat(counts, first) if len(first) else counts
-    return keys[first], sums
 
+def letters() -> np.ndarray:
+    """For every code point whether it is a letter."""
+    if not _letters:
+        _letters.append(np.array([chr(i).isalpha() for i in range(0x110000)]))
+    return _letters[0]
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Classes with runs of boundaries closed up, and the index of the text of each, about SLICE characters at a time."""
-    table, held, numbers, size = char_classes(), [], [], 0
 
-    def made():
-        raw = np.frombuffer("\n".join(["", *held, ""]).encode("utf-32-le", "replace"), np.uint32)
-        classes, owner = table[raw], np.repeat(numbers[:1] + numbers, [1, *(len(x) + 1 for x in held)])
-        keep = np.ones(len(classes), bool)
-        keep[1:] = (classes[1:] > 0) | (classes[:-1] > 0)
-        return classes[keep], owner[keep]
+def _slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Characters (0: boundary, runs of them closed up) of about SLICE characters at a time, the index of the text of each, and
+    from where on n-grams start in the next slice.
 
+    A text that is cut in a run of letters goes on in the next slice, which begins without a mark; this one looks two
+    characters into it.
+    """
+    table = letters()
+
+    def made(parts: list[str], numbers: list[int], marked: bool, ahead: str) -> tuple[np.ndarray, np.ndarray, int]:
+        joined = "\n" * marked + "\n".join(parts) + (ahead or "\n")
+        raw = np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+        raw = np.where(table[raw], raw, 0)
+        owner = np.repeat([numbers[0]] * marked + numbers + [numbers[-1]] * bool(ahead), [1] * marked + [len(x) + (i + 1 < len(parts) or not ahead) for i, x in enumerate(parts)] + [len(ahead)] * bool(ahead))
+        keep = np.ones(len(raw), bool)
+        keep[1:] = (raw[1:] > 0) | (raw[:-1] > 0)
+        return raw[keep], owner[keep], int(keep[: len(raw) - len(ahead)].sum()) if ahead else int(keep.sum())
+
+    held, numbers, size, marked = [], [], 0, True
     for i, text in enumerate(texts):
         text = (text or "").lower()
         while text:
+            part, ahead = text, ""
             if len(text) > SLICE:
                 cut = max(text.rfind(" ", 0, SLICE), text.rfind("\n", 0, SLICE)) + 1 or SLICE
                 part, text = text[:cut], text[cut:]
+                ahead = (text[:2] + "\n")[:2] if table[ord(part[-1])] else ""
             else:
-                part, text = text, ""
+                text = ""
             if held and size + len(part) > SLICE:
-                yield made()
-                held, numbers, size = [], [], 0
+                yield made(held, numbers, marked, "")
+                held, numbers, size, marked = [], [], 0, True
             held.append(part)
             numbers.append(i)
             size += len(part)
+            if ahead:
+                yield made(held, numbers, marked, ahead)
+                held, numbers, size, marked = [], [], 0, False
     if held:
-        yield made()
+        yield made(held, numbers, marked, "")
+
+
+def _grams(chars: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where n-grams start, before ``limit``, and their three characters; boundaries stand at ends only."""
+    letter, n = chars > 0, len(chars)
+    one = np.flatnonzero(letter)
+    two = np.flatnonzero(letter[:-1] | letter[1:])
+    three = np.flatnonzero(letter[1:-1]) if n > 2 else np.zeros(0, np.int64)
+    none = lambda at: np.full(len(at), _NONE)
+    at = np.concatenate((one, two, three))
+    second, third = np.concatenate((none(one), chars[two + 1], chars[three + 1])), np.concatenate((none(one), none(two), chars[three + 2]))
+    if limit < n:
+        inside = at < limit
+        at, second, third = at[inside], second[inside], third[inside]
+    return at, chars[at], second, third
+
+
+def _counted(keys: tuple[np.ndarray, ...], counts: np.ndarray | None = None) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Distinct rows of the keys, sorted by the first, then the second, and the sums of their counts."""
+    if len(keys) == 1:
+        order = np.argsort(keys[0], kind="stable")
+    else:
+        order = np.lexsort(keys[::-1])
+    keys = tuple(k[order] for k in keys)
+    new = np.zeros(max(0, len(order) - 1), bool)
+    for k in keys:
+        new |= k[1:] != k[:-1]
+    first = np.flatnonzero(np.concatenate(([True], new))) if len(order) else np.zeros(0, np.int64)
+    sums = np.diff(np.append(first, len(order))) if counts is None else np.add.reduceat(counts[order], first) if len(first) else counts
+    return tuple(k[first] for k in keys), sums
+
+
+def _slice_counts(chars: np.ndarray, owner: np.ndarray, limit: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """(owner, code) and counts of a slice. Its own characters are numbered, so that owner and n-gram mostly fit one word."""
+    there = np.zeros(1 << _BITS, bool)
+    there[chars] = there[0] = there[_NONE] = True
+    known = np.flatnonzero(there)
+    number = np.zeros(1 << _BITS, np.int64)
+    number[known] = np.arange(len(known))
+    at, a, b, c = _grams(chars, limit)
+    # an n-gram that begins with the mark before a text belongs to the text of its next character
+    whose = owner[np.minimum(at + (a == 0), len(owner) - 1)].astype(np.int64)
+    bits = max(1, int(len(known) - 1).bit_length())
+    low = (number[a] << 2 * bits) | (number[b] << bits) | number[c]
+    base = int(whose[0]) if len(whose) else 0
+    if (int(whose.max(initial=0)) - min(base, int(whose.min(initial=base)))).bit_length() + 3 * bits < 63:
+        base = int(whose.min(initial=base))
+        packed = np.sort((whose - base) << 3 * bits | low)
+        first = np.flatnonzero(np.concatenate(([True], packed[1:] != packed[:-1]))) if len(packed) else np.zeros(0, np.int64)
+        counts, packed = np.diff(np.append(first, len(packed))), packed[first]
+        whose, low = (packed >> 3 * bits) + base, packed & ((1 << 3 * bits) - 1)
+    else:
+        (whose, low), counts = _counted((whose, low))
+    mask = (1 << bits) - 1
+    return (whose, known[low >> 2 * bits] << 2 * _BITS | known[low >> bits & mask] << _BITS | known[low & mask]), counts
 
 
-def _document_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the text << 23 | code) and counts, sorted."""
-    keys, counts = [], []
-    for classes, owner in _slices(texts):
-        codes, at = _codes(classes)
-        # a pair or triple that begins with the mark before a text belongs to the text of its next character
-        got, n = _counted(owner[np.minimum(at + (classes[at] == 0), len(owner) - 1)].astype(np.int64) << _CODE_BITS | codes)
-        keys.append(got)
-        counts.append(n)
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return (keys[0], counts[0]) if len(keys) == 1 else _counted(np.concatenate(keys), np.concatenate(counts))
+def _document_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, code and count, sorted."""
+    parts = [_slice_counts(*x) for x in _slices(texts)]
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(parts) == 1:
+        return *parts[0][0], parts[0][1]
+    keys, counts = _counted(tuple(np.concatenate([p[0][j] for p in parts]) for j in (0, 1)), np.concatenate([p[1] for p in parts]))
+    return *keys, counts
 
 
 def _ranges(column: pa.Array) -> Iterator[tuple[int, int]]:
@@ -125,14 +164,13 @@ def _ngram_counts(labelled: DataFrame) -> DataFrame:
             sources = list(zip(batch.column("lang").to_pylist(), batch.column("part").to_pylist()))
             names = sorted(set(sources))
             place = {x: i for i, x in enumerate(names)}
-            number, total = np.array([place[x] for x in sources], np.int64), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            number, none = np.array([place[x] for x in sources], np.int64), np.zeros(0, np.int64)
+            keys, counts = (none, none), none
             for start, n in _ranges(batch.column("text")):
-                keys, counts = _document_counts(batch.column("text").slice(start, n).to_pylist())
-                keys = number[start + (keys >> _CODE_BITS)] << _CODE_BITS | keys & _CODES
-                total = _counted(np.concatenate((total[0], keys)), np.concatenate((total[1], counts)))
-            keys, counts = total
-            source = pa.array(keys >> _CODE_BITS)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in names], pa.string()).take(source), pa.array([x for _, x in names], pa.int32()).take(source), pa.array(keys & _CODES), pa.array(counts.astype(np.int64))], ["lang", "part", "code", "n"])
+                owner, code, some = _document_counts(batch.column("text").slice(start, n).to_pylist())
+                keys, counts = _counted((np.concatenate((keys[0], number[start + owner])), np.concatenate((keys[1], code))), np.concatenate((counts, some)))
+            source = pa.array(keys[0])
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in names], pa.string()).take(source), pa.array([x for _, x in names], pa.int32()).take(source), pa.array(keys[1]), pa.array(counts.astype(np.int64))], ["lang", "part", "code", "n"])
 
     return labelled.select("text", "lang", F.col("part").cast("int").alias("part")).where("lang is not null").mapInArrow(count, "lang string, part int, code long, n long")
 
@@ -212,18 +250,14 @@ class Profiles:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
         """Names, scores, and distances to the nearest as a share of the largest possible."""
-        keys, counts = _document_counts(texts)
+        owner, code, counts = _document_counts(texts)
         langs, scores, far = ["und"] * len(texts), [0.0] * len(texts), [1.0] * len(texts)
-        if not len(keys) or not self.names:
+        if not len(owner) or not self.names:
             return langs, scores, far
-        owner, code = keys >> _CODE_BITS, keys & _CODES
-        most = np.int64(2**20 - 1)
-        if owner[-1] < 2**20 and counts.max() <= most:  # one sort of packed keys is faster
-            order = np.sort((owner << 20 | most - counts) << _CODE_BITS | code)
-            owner, code = order >> (_CODE_BITS + 20), order & _CODES
-        else:
-            order = np.lexsort((code, -counts, owner))
-            owner, code = owner[order], code[order]
+        # by falling count in each text; a stable sort keeps the order of codes in ties
+        most, bits = int(counts.max()), int(owner[-1]).bit_length()
+        order = np.argsort(owner << (63 - bits) | most - counts, kind="stable") if most.bit_length() + bits < 63 else np.lexsort((-counts, owner))
+        owner, code = owner[order], code[order]
         first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
         rank = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
         top = rank < self.size
@@ -283,7 +317,7 @@ def accepted(docs: DataFrame, profiles: dict[str, list[int]], limits: dict[str,
     limits = limits or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, table = Profiles(profiles), char_classes()
+        model, table = Profiles(profiles), letters()
         for batch in batches:
             if model.names:
                 langs, _, far = model.predict_column(batch.column("text"))
