@@ -34,6 +34,70 @@ def test_bins_hold_what_they_say():
     assert sizes.sum() <= 1.02 * lengths.sum()
 
 
+def naive(lengths, capacities, attention=packing.ATTENTION):
+    """The same rules with plain loops: for each item its bin, and the size of each bin."""
+    bins, out, pushes = [], [], 0
+    for i, length in enumerate(lengths):
+        fits = [b for b in bins if b["room"] >= length]
+        if fits:
+            room = min(b["room"] for b in fits)
+            b = max((b for b in fits if b["room"] == room), key=lambda b: b["pushed"])
+        else:
+            free, best = sum(b["room"] for b in bins), None
+            for size in sorted(capacities):
+                if size >= length:
+                    spare = size - length
+                    fill = min(spare, max(0, sum(x for x in lengths[i + 1 :] if x <= spare) - free))
+                    cost = size * (1 + attention * size) / (length + fill)
+                    if best is None or cost < best[0]:
+                        best = (cost, size)
+            b = {"number": len(bins), "room": best[1], "used": 0, "pushed": 0}
+            bins.append(b)
+        pushes += 1
+        b["room"] -= length
+        b["used"] += length
+        b["pushed"] = pushes
+        out.append(b["number"])
+    return out, [min(c for c in capacities if c >= b["used"]) for b in bins]
+
+
+def test_bins_match_a_plain_best_fit():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 7, 60, 250):
+        for top in (3, 20, 65):
+            lengths = np.sort(rng.integers(1, top, n))[::-1].astype(np.int64)
+            bins, _, sizes = packing.pack(lengths, (16, 32, 64))
+            assert (bins.tolist(), sizes.tolist()) == naive(lengths.tolist(), (16, 32, 64))
+
+
+def test_documents_match_a_plain_best_fit_shard_by_shard(spark, monkeypatch):
+    rng = random.Random(2)
+    texts = ["w " * rng.choice([0, 1, 5, 5, 40, 300]) for _ in range(150)] + ["v " * 5000, "v " * 4095] * 3
+    df = spark.createDataFrame([(i % 100, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, shard int").repartition(3)
+    monkeypatch.setattr(packing, "SHARD", 60)
+    got, shards = packing.pack_documents(df, (64, 256, 1024)).collect(), defaultdict(list)
+    for r in got:
+        shards[r.bin_id.rsplit("-", 1)[0]].append(r)
+    assert len(shards) > 1 and sorted(r.length for r in got if r.length == 1024) == [1024] * (3 * 4 + 3 * 4)
+    for rows in shards.values():
+        lengths = sorted((r.length for r in rows), reverse=True)
+        bins, sizes = naive(lengths, (64, 256, 1024))
+        content = defaultdict(list)
+        for n, b in zip(lengths, bins):
+            content[b].append(n)
+        mine = defaultdict(list)
+        for r in rows:
+            mine[r.bin_id, r.capacity].append(r.length)
+        assert sorted((c, sorted(x)) for (_, c), x in mine.items()) == sorted((sizes[b], sorted(x)) for b, x in content.items())
+
+
+def test_rows_of_one_id_are_dealt_to_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 50)
+    df = spark.range(400).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b").alias("text"))
+    sizes = packing.pack_documents(df).groupBy(F.substring_index("bin_id", "-", 2)).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 100
+
+
 def test_several_sizes_cost_less_than_one():
     lengths = np.array([33] * 40, np.int64)
     assert packing.pack(lengths, (40, 64))[2].tolist() == [40] * 40 and packing.pack(lengths, (64,))[2].sum() == 64 * 40
@@ -221,6 +285,100 @@ def test_queries_match_sql(spark, sf_dir, name):
     assert_same(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name])
 
 
+PIPELINE = "doc_id long, text string, lang string, source string, n_chars int, _class string, key int, row string, block int, place int, rest array<string>, band string"
+
+
+def pipeline_docs(spark, rows):
+    """A table with names that the stages use, and columns that are never null."""
+    df = spark.createDataFrame([(i, t, lang, "s", 0, "c", 1, "r", 2, 3, ["x"], "b") for i, t, lang in rows], PIPELINE)
+    return df.withColumns({"never": F.lit(1), "part": F.struct(F.lit("p").alias("text"))})
+
+
+def test_stages_match_plain_models(spark, sf_dir):
+    import corpus_pipeline as p
+    from test_line_and_substring_dedup import line_corpus, line_model
+    from test_near_dup_and_topk import classes, corpus
+
+    stage = dict(p.STAGES)
+    lines = line_corpus()
+    df = pipeline_docs(spark, [(i, t, "en") for i, t in enumerate(lines)])
+    out = stage["lines"](spark, df, sf_dir)
+    want = line_model(lines, 40, 5)
+    assert out.columns == df.columns and {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {i: (None, None) if t is None else (want[i][3], len(want[i][3])) for i, t in enumerate(lines)}
+
+    texts = corpus()
+    rows = [(i, t, "en") for i, t in texts.items()]
+    df = pipeline_docs(spark, rows + rows[:3])
+    out = stage["near_duplicates"](spark, df, sf_dir)
+    assert out.columns == df.columns and {r.doc_id: r.text for r in out.collect()} == {i: texts[i] for i, c in classes(texts).items() if c == i} and out.count() == out.select("doc_id").distinct().count()
+
+    from turnloom.llm import pii
+
+    rows = [(1, "write to a.b@c.org or +49 170 1234567 now", "en"), (2, "clean text", "en"), (3, None, "en"), (3, None, "en"), (None, "ip 10.1.2.3", "en")]
+    out = stage["personal_data"](spark, pipeline_docs(spark, rows), sf_dir)
+    assert sorted(map(str, (r.text for r in out.collect()))) == sorted(str(t if t is None else pii.redact(t, pii.base_spans(t))) for _, t, _ in rows)
+
+    out = stage["packed"](spark, pipeline_docs(spark, rows), sf_dir)
+    assert sorted((str(r.doc_id), r.length) for r in out.collect()) == sorted((str(i), len((t or "").split()) + 1) for i, t, _ in rows)
+
+
+def test_the_language_stage_matches_a_plain_model(spark, sf_dir):
+    """Kept are texts with letters no farther from the nearest profile than its limit, both worked out with plain loops."""
+    import zlib
+
+    import corpus_pipeline as p
+    from test_language_bpe_pii import model_profile
+
+    from turnloom.llm.language_id import LEAST, PROFILE, STEPS
+
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("n_chars < 1500").collect()]
+    docs += [(90_001, "zzqx vvkw xqzj " * 20, None), (90_002, "123 456", "en"), (90_003, None, None), (90_004, "", "de"), (90_005, "日本語の文章です" * 9, None)]
+    third = {i: zlib.crc32(str(i).encode()) % 3 for i, _, _ in docs}
+
+    def profiles(rows):
+        return {x: model_profile([t for _, t, y in rows if y == x], PROFILE) for x in {y for _, _, y in rows if y} if any(y == x and any(c.isalpha() for c in t or "") for _, t, y in rows)}
+
+    def nearest(text, known):
+        own = model_profile([text], PROFILE)
+        if not own:
+            return None, 1.0
+        ranks = {x: {g: k for k, g in enumerate(q)} for x, q in known.items()}
+        far = {x: sum(min(abs(q[g] - k), PROFILE) if g in q else PROFILE for k, g in enumerate(own)) for x, q in ranks.items()}
+        best = min(sorted(far), key=far.get)
+        return best, far[best] / (PROFILE * len(own))
+
+    others = {k: profiles([d for d in docs if third[d[0]] != k]) for k in range(3)}
+    steps = defaultdict(list)
+    for i, t, lang in docs:
+        if lang in others[third[i]]:
+            name, far = nearest(t, others[third[i]])
+            if name:
+                steps[lang].append(math.ceil(far * STEPS))
+    limit = {}
+    for lang, x in steps.items():
+        if len(x) >= LEAST:
+            x.sort()
+            middle, high = (x[math.ceil(q * len(x)) - 1] for q in (0.5, 0.99))
+            limit[lang] = (2 * high - middle) / STEPS
+    known, keep = profiles(docs), set()
+    for i, t, _ in docs:
+        name, far = nearest(t, known)
+        if name and far <= (max(limit.values()) if name in limit else 0.95):
+            keep.add(i)
+    out = dict(p.STAGES)["language"](spark, pipeline_docs(spark, docs), sf_dir)
+    assert {r.doc_id for r in out.collect()} == keep and not {90_001, 90_002, 90_003, 90_004, 90_005} & keep and len(keep) > 0.95 * len(docs) - 6
+
+
+def test_an_empty_table_passes_through_the_pipeline(spark, sf_dir):
+    import corpus_pipeline as p
+
+    df = pipeline_docs(spark, [(1, "a", "en")]).limit(0)
+    for name, stage in p.STAGES[:-1]:
+        df = stage(spark, df, sf_dir)
+        assert df.count() == 0, name
+    assert p.STAGES[-1][1](spark, df, sf_dir).count() == 0
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as p
 

@@ -5,11 +5,12 @@ permitted size of the least cost for each place that will be used: the cost of a
 (``attention``), but a larger bin's room can be used by the items still to come, as far as other open bins do
 not take them. At the end each bin gets the smallest permitted size that holds its contents.
 
-Items are dealt by a hash to shards of about ``SHARD`` items, packed each by itself: what the cut costs is at most a few half-filled bins
-a shard. Documents longer than the largest size are cut into pieces of that size, which fill bins of their own, and a rest.
+Items are dealt by a hash of key and row to shards of about ``SHARD`` items, so that rows of one id fill no shard, and
+packed each shard by itself: what the cut costs is at most a few half-filled bins a shard. Documents longer than the
+largest size are cut into pieces of that size, which fill bins of their own, and a rest.
 
 Defined results. A document's length is its number of words (``[^\\x20\\x09-\\x0D]+``) and one for its end; so a null
-or empty text has length 1. Ties in length go by key, then doc_id. Every row is packed, repeated rows each by itself.
+or empty text has length 1. A length of 0 or less, if lengths are given, has no piece. Ties in length go by key, then doc_id, then piece. Every row is packed, repeated rows each by itself.
 """
 
 from __future__ import annotations
@@ -24,13 +25,11 @@ from pyspark.sql import functions as F
 from ._common import document_key, shuffle_partitions
 
 CAPACITIES, ATTENTION, SHARD = (1024, 2048, 4096, 8192), 1 / 16384, 20_000
-_SPACE = " \t\n\x0b\x0c\r"
 
 
 def n_words(text: Column) -> Column:
     """Words of a text; none for null."""
-    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
-    return F.when(inner == "", 0).otherwise(F.size(F.split(inner, r"[\x20\x09-\x0D]+"))).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
 def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, attention: float = ATTENTION) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,7 +76,7 @@ _PACKED = "doc_id long, piece long, start long, length long, bin_id string, capa
 
 
 def _shard(t: pa.Table, capacities: tuple[int, ...], attention: float) -> pa.Table:
-    t = t.sort_by([("length", "descending"), ("key", "ascending"), ("doc_id", "ascending")])
+    t = t.sort_by([("length", "descending"), ("key", "ascending"), ("doc_id", "ascending"), ("piece", "ascending")])
     bins, offsets, sizes = pack(t.column("length").to_numpy(), capacities, attention)
     shard = t.column("shard")[0].as_py()
     return pa.table({"doc_id": t.column("doc_id"), "piece": t.column("piece"), "start": t.column("start"), "length": t.column("length"), "bin_id": pa.array([f"shard-{shard}-{b}" for b in bins.tolist()]), "capacity": pa.array(sizes[bins]), "offset": pa.array(offsets)})
@@ -85,12 +84,11 @@ def _shard(t: pa.Table, capacities: tuple[int, ...], attention: float) -> pa.Tab
 
 def pack_documents(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, attention: float = ATTENTION, length: Column | None = None) -> DataFrame:
     """A row for each piece of a document: doc_id, piece, start, length, bin_id, capacity, offset."""
-    largest = max(capacities)
+    largest = F.lit(max(capacities)).cast("long")
     measured = docs.select(document_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), (n_words(F.col("text")) + 1 if length is None else length.cast("long")).alias("total"))
     n = docs.count()
     shards = max(1, math.ceil(n / SHARD), min(shuffle_partitions(docs.sparkSession), math.ceil(n / 2000)))
-    cut = measured.withColumn("whole", F.floor(F.col("total") / largest).cast("long"))
-    full = cut.where("whole > 0").select("key", "doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).alias("piece"))
-    full = full.select("doc_id", "piece", (F.col("piece") * largest).alias("start"), F.lit(largest).cast("long").alias("length"), F.concat(F.lit("whole-"), F.col("key"), F.lit("-"), F.col("piece")).alias("bin_id"), F.lit(largest).cast("long").alias("capacity"), F.lit(0).cast("long").alias("offset"))
-    rest = cut.where(F.col("total") > F.col("whole") * largest).select(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", "doc_id", F.col("whole").alias("piece"), (F.col("whole") * largest).alias("start"), (F.col("total") - F.col("whole") * largest).alias("length"))
-    return rest.groupBy("shard").applyInArrow(lambda t: _shard(t, capacities, attention), _PACKED).unionByName(full)
+    pieces = measured.where("total > 0").select("key", "doc_id", "total", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / largest).cast("long"))).alias("piece"))
+    cut = pieces.select("key", "doc_id", "piece", (F.col("piece") * largest).alias("start"), F.least(largest, F.col("total") - F.col("piece") * largest).alias("length"))
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("key", F.monotonically_increasing_id()), F.lit(shards)).cast("int"))
+    return dealt.groupBy("shard").applyInArrow(lambda t: _shard(t, capacities, attention), _PACKED)
