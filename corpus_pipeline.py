@@ -30,10 +30,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: the first; of rows that repeat its id, one."""
     classes = near_dup.near_duplicate_classes(docs)
-    key, place, cls = "_key", "_place", "_class"
-    joined = docs.withColumn(key, document_key()).join(classes.select(F.col("key").alias(key), F.col("class_id").alias(cls)), key, "left")
-    kept = joined.where(F.coalesce(cls, key) == F.col(key)).withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy("text")))
-    return kept.where(F.col(place) == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(document_key().alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    firsts = rows.join(classes, "key", "left").where(F.coalesce("class_id", "key") == F.col("key"))
+    placed = firsts.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("row.text")))
+    return placed.where("place = 1").select(*(F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("packed", packed)]
 
-#: Language profiles, signatures, boosted trees and packing are no SQL; tests hold the stages against brute force.
+#: Language profiles, signatures, boosted trees and packing are no SQL; a test holds each stage against a plain model.
 ORACLE_SQL = None
 
 
