@@ -265,7 +265,7 @@ def test_scrubbing(spark):
 def test_synthetic_shares(spark):
     n = 20_000
     got = {r.template: r["count"] for r in synth.generate(spark, n, "legacy").groupBy("template").count().collect()}
-    assert math.isclose(got["stuck_worker"] / n, 2 / 11, abs_tol=0.02) and len(got) == 8
+    assert math.isclose(got["stuck_worker"] / n, 2 / 17.5, abs_tol=0.02) and len(got) == 8
     assert math.isclose(synth.generate(spark, n).where("corrupted").count() / n, 0.1, abs_tol=0.02)
 
 

@@ -14,8 +14,17 @@ FOLDER_ROLES = (
     (r"-crew-", "crew"),
     (r"-polecats-", "polecat"),
 )
-#: "[BANNER] role <- sender" at any place of the first user text
-ROLE_BANNER = r"\[[A-Z][A-Z ]*\]\s+(\w+)\s+<-"
+#: "[BANNER] role <- sender" at any place of the first user text; which banner is a parameter
+ROLE_BANNER = r"[A-Z][A-Z ]*"
+CWD_ROLES = (
+    (r"/deacon$", "deacon"),
+    (r"/deacon/dogs/boot$", "boot"),
+    (r"/witness$", "witness"),
+    (r"/refinery/rig$", "refinery"),
+    (r"/mayor/rig$", "mayor"),
+    (r"/crew/\w+$", "crew"),
+    (r"/polecats/\w+", "polecat"),
+)
 
 # Turns of little signal, and the least a sample must hold
 BOILERPLATE = (r"(?i)^Mayor,?\s+checking in\.?$", r"(?i)^Let me check.*(hook|mail)", r"(?i)^Nothing on hook", r"(?i)^No .* messages")
@@ -25,6 +34,8 @@ MIN_TURNS, MIN_SUBSTANTIVE, MIN_CHARS = 2, 2, 200
 NOISE_LINES = (r"^Shell cwd was reset to", r"^WARNING: This binary was built with")
 RESULT_CHARS, RESULT_MARK, RESULT_MARK_ROOM = 2000, "\n... [truncated] ...\n", 20
 
+RESULT_BLOCK = r"(?s)(<tool_result[^>]*>)\n(.*?)\n</tool_result>"
+
 # Windows of turns
 WINDOW, STRIDE, WINDOW_CHARS = 16, 8, 16384
 
@@ -47,6 +58,10 @@ REQUIRED_COMMANDS = {
 }
 SUSPICIOUS_COMMANDS = ("gt tool", "gt run", "bd exec", "bd shell")
 
+# Commands in a text; gt and bd take words, git words with hyphens
+GT_COMMAND, BD_COMMAND, GIT_COMMAND = r"gt\s+\w+(?:\s+\w+)*", r"bd\s+\w+(?:\s+\w+)*", r"git\s+\w+(?:\s+[\w\-]+)*"
+WHOLE_COMMANDS = ("gt mail", "gt mol", "gt handoff")
+
 # Workflows and faults found in a text
 WORKFLOWS = (
     ("polecat_startup", r"gt\s+(prime|hook).*bd\s+mol\s+current"),
@@ -116,3 +131,13 @@ SEVERITIES = ("critical", "high", "medium", "low", "info")
 INSTRUCTION_WORDS = ("you must", "you should", "do not", "ensure", "verify", "check")
 CONTEXT_WORDS = ("example", "context", "background", "given", "assume")
 PROMPT_WORDS = ("prompt", "user", "assistant", "system")
+FENCED_BLOCK = r"```(?:json)?\n([\s\S]*?)\n```"
+
+# An adapter's training
+TRAINING_CONFIG = {
+    "model_type": "AutoModelForCausalLM", "tokenizer_type": "AutoTokenizer", "load_in_4bit": True, "adapter": "qlora", "lora_r": 64, "lora_alpha": 128, "lora_dropout": 0.05,
+    "lora_target_linear": True, "val_set_size": 0.05, "sequence_len": 4096, "sample_packing": True, "pad_to_sequence_len": True, "gradient_accumulation_steps": 4, "micro_batch_size": 2,
+    "num_epochs": 3, "learning_rate": 2e-4, "lr_scheduler": "cosine", "warmup_steps": 50, "optimizer": "adamw_torch", "weight_decay": 0.01, "max_grad_norm": 1.0, "bf16": "auto", "tf32": True,
+    "flash_attention": True, "saves_per_epoch": 2, "eval_steps": 50, "logging_steps": 10,
+}
+SOFT_LABEL_WEIGHT = 0.5

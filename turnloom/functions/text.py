@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,29 @@ def contains_any(text: Column, needles: Iterable[str]) -> Column:
     return out
 
 
+def starts_any(text: Column, starts: Iterable[str]) -> Column:
+    out = F.lit(False)
+    for s in starts:
+        out = out | text.startswith(s)
+    return out
+
+
+def hash_uniform(*parts: Column) -> Column:
+    """From 0 to under 1: the first 32 bits of the SHA-256 of the parts, joined by colons. The same in any engine."""
+    return F.conv(F.substring(F.sha2(F.concat_ws(":", *(p.cast("string") for p in parts)), 256), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+
+
+def values_at_ranks(df: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
+    """One row: for each name sorted[int(share x n)] of the non-null values, by counting equal values first.
+
+    Only the distinct values are put in order, each with how many rows lie below it; none of the rows is collected.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
+    upto = counts.withColumn("_to", F.sum("_n").over(Window.orderBy("_v"))).withColumn("_all", F.sum("_n").over(Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    at = lambda share: F.min(F.when(F.col("_to") > F.least(F.floor(F.col("_all") * F.lit(share)), F.col("_all") - 1), F.col("_v")))
+    return upto.agg(*(at(share).alias(name) for name, share in shares.items()))
+
+
 def count_present(text: Column, needles: Iterable[str]) -> Column:
     """How many of the needles occur in the text at all."""
     return sum((F.when(text.contains(n), 1).otherwise(0) for n in needles), F.lit(0))
@@ -35,18 +58,6 @@ def floor_round(x: Column, places: int) -> Column:
     return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def upper_median(values: Column) -> Column:
-    """The element at half the size of the sorted non-null values; an aggregate."""
-    ordered = F.sort_array(F.collect_list(values))
-    return F.try_element_at(ordered, F.floor(F.size(ordered) / 2).cast("int") + 1)
-
-
-def at_rank(values: Column, share: float) -> Column:
-    """sorted[int(share * n)] of the non-null values; an aggregate."""
-    ordered = F.sort_array(F.collect_list(values))
-    return F.try_element_at(ordered, F.floor(F.size(ordered) * F.lit(share)).cast("int") + 1)
-
-
 def clamp01(x: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
 

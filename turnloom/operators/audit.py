@@ -6,13 +6,22 @@ needs ARRAY<STRING>>>, vars MAP<STRING, STRUCT<description, required BOOLEAN, ha
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fixed import CONTEXT_WORDS, FORMULA_TYPES, INSTRUCTION_WORDS, PROMPT_WORDS, REQUIRED_FIELDS, SEVERITIES
-from ..functions.text import contains_any
+from ..functions.fixed import CONTEXT_WORDS, FENCED_BLOCK, FORMULA_TYPES, INSTRUCTION_WORDS, PROMPT_WORDS, REQUIRED_FIELDS, SEVERITIES
+from ..functions.text import contains_any, first_match
 
 _FINDING = "struct<severity:string,category:string,location:string,issue:string>"
+#: What to do about a finding, by how its issue begins.
+ADVICE = (
+    ("missing required field", "add the field"), ("invalid formula type", "use one of the known types"), ("version not specified", "give a version"), ("no steps defined", "define at least one step"),
+    ("duplicate step id", "give each step an id of its own"), ("step missing title", "give the step a title"), ("step missing acceptance", "say when the step is done"),
+    ("step references unknown", "name a step that comes before"), ("variable missing description", "describe the variable"), ("variable required but", "drop the default or the requirement"),
+    ("empty prompt", "write the prompt or take it out"), ("unmatched variable", "close the placeholder"), ("prompt may lack", "say what must be done"), ("prompt might benefit", "add an example or the context"),
+)
 
 
 def _finding(when: Column, severity: str, category: str, location: Column, issue: Column) -> Column:
@@ -71,7 +80,7 @@ def var_findings(formulas: DataFrame) -> DataFrame:
 
 def find_prompts(formulas: DataFrame) -> DataFrame:
     """formula, step_id, step_title, location, content of fenced blocks in step descriptions that read like prompts."""
-    blocks = steps_of(formulas).select("formula", "pos", "id", "title", F.posexplode(F.regexp_extract_all(F.coalesce("description", F.lit("")), F.lit(r"```(?:json)?\n([\s\S]*?)\n```"), 1)).alias("block", "content"))
+    blocks = steps_of(formulas).select("formula", "pos", "id", "title", F.posexplode(F.regexp_extract_all(F.coalesce("description", F.lit("")), F.lit(FENCED_BLOCK), 1)).alias("block", "content"))
     like = blocks.where(contains_any(F.lower("content"), PROMPT_WORDS))
     return like.select("formula", F.col("id").alias("step_id"), F.coalesce("title", F.lit("")).alias("step_title"), F.concat(F.lit("step-"), F.col("pos"), F.lit("-block-"), F.col("block")).alias("location"), F.regexp_replace("content", r"^\s+|\s+\z", "").alias("content"))
 
@@ -94,7 +103,7 @@ def audit(formulas: DataFrame) -> DataFrame:
     out = broken
     for part in (structure_findings(good), step_findings(good), var_findings(good), prompt_findings(find_prompts(good))):
         out = out.unionByName(part)
-    return out
+    return out.withColumn("recommendation", first_match(F.col("issue"), [("^" + start, advice) for start, advice in ADVICE], F.lit("mend the file")))
 
 
 def severity_counts(findings: DataFrame) -> DataFrame:
@@ -107,5 +116,16 @@ def findings_markdown(findings: DataFrame) -> str:
     """A report of a few findings, on the driver."""
     lines = ["# Audit", "", *(f"- {r.severity}: {r.n}" for r in severity_counts(findings).collect()), ""]
     for r in findings.orderBy("formula", "location", "issue").toLocalIterator():
-        lines.append(f"- [{r.severity}] {r.formula} ({r.location}): {r.issue}")
+        lines.append(f"- [{r.severity}] {r.formula} ({r.location}): {r.issue}; {r.recommendation}")
     return "\n".join(lines)
+
+
+def findings_json(findings: DataFrame) -> str:
+    """Counts and findings of a few definitions, on the driver."""
+    rows = [r.asDict() for r in findings.orderBy("formula", "location", "issue").toLocalIterator()]
+    return json.dumps({"summary": {r.severity: r.n for r in severity_counts(findings).collect()}, "findings": rows}, indent=2)
+
+
+def findings_console(findings: DataFrame) -> str:
+    rows = [f"[{r.severity.upper()}] {r.formula} {r.location}: {r.issue}\n  {r.recommendation}" for r in findings.orderBy("formula", "location", "issue").toLocalIterator()]
+    return "\n".join(rows) or "no findings"

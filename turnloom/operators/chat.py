@@ -15,16 +15,19 @@ def messages(turns: Column) -> Column:
 
 
 def merge_consecutive(msgs: Column) -> Column:
-    """Neighbours from one side become one message, joined by a newline."""
-    empty = F.filter(msgs, lambda m: F.lit(False))
+    """Neighbours from one side become one message, joined by a newline. Each message is copied once."""
+    places = F.sequence(F.lit(1), F.greatest(F.size(msgs), F.lit(1)))
+    starts = F.filter(places, lambda i: (i == 1) | (F.try_element_at(msgs, i)["from"] != F.try_element_at(msgs, F.greatest(i - 1, F.lit(1)))["from"]))
 
-    def step(done: Column, m: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(m["from"].alias("from"), F.concat(last.value, F.lit("\n"), m.value).alias("value"))
-        same = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["from"] == m["from"])
-        return F.when(same, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(m)))
+    def island(starts: Column) -> Column:
+        def one(first: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(msgs) + 1)
+            part = F.slice(msgs, first, F.greatest(end - first, F.lit(0)))
+            return F.struct(F.try_element_at(msgs, first)["from"].alias("from"), F.array_join(F.transform(part, lambda m: m.value), "\n").alias("value"))
 
-    return F.aggregate(msgs, empty, step)
+        return F.transform(starts, one)
+
+    return F.when(F.size(msgs) > 0, F.transform(F.array(starts), island)[0]).otherwise(F.filter(msgs, lambda m: F.lit(False)))
 
 
 def alternate(merged: Column) -> Column:
@@ -46,8 +49,11 @@ def has_both_sides(msgs: Column) -> Column:
 
 
 def with_prompts(df: DataFrame, prompts: DataFrame, default: str = DEFAULT_PROMPT) -> DataFrame:
-    """Adds ``prompt`` by role; ``prompts`` (role, prompt) has a row a role, so it is broadcast, and all others get the default."""
-    return df.join(F.broadcast(prompts.select("role", "prompt")), "role", "left").withColumn("prompt", F.coalesce("prompt", F.lit(default)))
+    """Adds ``prompt`` by role, the default for roles without one; of a role that is there twice the smallest prompt counts.
+
+    Spark broadcasts ``prompts`` (role, prompt) while it is small.
+    """
+    return df.join(prompts.groupBy("role").agg(F.min("prompt").alias("prompt")), "role", "left").withColumn("prompt", F.coalesce("prompt", F.lit(default)))
 
 
 def format_samples(chunks: DataFrame, source: str = "claude-session") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import BEHAVIOURS, TOOLS
-from ..functions.text import at_rank, literal_pattern, upper_median
+from ..functions.text import hash_uniform, literal_pattern, values_at_ranks
 
 # --- acceptance of draft tokens
 
@@ -38,7 +38,7 @@ def acceptance_probability(tokens: Column, draft: Column, target: Column) -> Col
 
 def stochastic_accepted(probabilities: Column, sample_id: Column, seed: int = 42) -> Column:
     """Draws by a uniform hash of seed, sample and place: the same on every run and in any order."""
-    return F.transform(probabilities, lambda p, i: p > F.pmod(F.xxhash64(sample_id, i, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    return F.transform(probabilities, lambda p, i: p > hash_uniform(F.lit(seed), sample_id, i))
 
 
 def acceptance_report(results: DataFrame) -> DataFrame:
@@ -137,7 +137,14 @@ def response_assertions(output: Column, allowed: Column, cost: Column, latency:
 def scenario_summary(results: DataFrame) -> DataFrame:
     """Rates of checks, mean, median and 95th place of latency, over rows of checks and latency_ms."""
     rate = lambda c: F.avg(F.col(f"checks.{c}").cast("double")).alias(f"{c}_rate")
-    return results.agg(F.count("*").alias("n"), *(rate(c) for c in ("valid_json", "valid_tool", "correct_tool", "has_args")), F.avg("latency_ms").alias("mean_latency_ms"), upper_median(F.col("latency_ms")).alias("p50_latency_ms"), at_rank(F.col("latency_ms"), 0.95).alias("p95_latency_ms"))
+    means = results.agg(F.count("*").alias("n"), *(rate(c) for c in ("valid_json", "valid_tool", "correct_tool", "has_args")), F.avg("latency_ms").alias("mean_latency_ms"))
+    places = values_at_ranks(results, "latency_ms", {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95})
+    return means.withColumns({name: places.select(name).scalar() for name in places.columns})
+
+
+def parse_sources(parsed: DataFrame, source: str = "source") -> DataFrame:
+    """How decisions were found: (source, n), none for those that were not."""
+    return parsed.groupBy(F.coalesce(F.col(source), F.lit("none")).alias("source")).agg(F.count("*").alias("n"))
 
 
 def first_assistant(messages: DataFrame, conversation: str, position: str) -> DataFrame:

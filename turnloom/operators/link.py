@@ -46,6 +46,15 @@ def first_n(events: DataFrame, n: int, *order: str) -> DataFrame:
     return events.withColumn("_rank", F.row_number().over(Window.partitionBy("session_id").orderBy(*order))).where(F.col("_rank") <= n).drop("_rank")
 
 
+def link_by(sessions: DataFrame, events: DataFrame, costs: DataFrame | None = None, commands: DataFrame | None = None, names: tuple[str, ...] = ("gt_session", "session_id")) -> DataFrame:
+    """``link`` by the first of the named columns that is there and not blank, as telemetry may know a session by another
+    name than its id. session_id stays as it is.
+    """
+    key = F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in names if c in sessions.columns))
+    keyed = sessions.withColumn("_key", key).withColumnRenamed("session_id", "_own").withColumnRenamed("_key", "session_id")
+    return link(keyed, events, costs, commands).drop("session_id").withColumnRenamed("_own", "session_id")
+
+
 def link(sessions: DataFrame, events: DataFrame, costs: DataFrame | None = None, commands: DataFrame | None = None, key: str = "session_id") -> DataFrame:
     """Adds bead_id and otel_signals. The logs (costs: role, commands: actor; both line_no) only count where no work item was found; costs come first."""
     out = sessions.join(outcomes(events), key, "left").join(durations(events), key, "left")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.fixed import SOFT_LABEL_WEIGHT, TRAINING_CONFIG
 from .select import mix
 
 
@@ -42,7 +45,7 @@ def mix_by_role(rejection: DataFrame, general: DataFrame, id_column: str, ratio:
     n = rejection.groupBy("role").agg(F.count("*").alias("_n"))
     ranked = general.withColumn("_rank", F.row_number().over(Window.partitionBy("role").orderBy(seeded_key(F.col(id_column), seed))))
     wanted = F.floor(F.col("_n") * F.lit((1 - ratio)) / F.lit(ratio))
-    chosen = ranked.join(F.broadcast(n), "role", "left").where(F.col("_n").isNull() | (F.col("_rank") <= wanted)).drop("_rank", "_n")
+    chosen = ranked.join(n, "role", "left").where(F.col("_n").isNull() | (F.col("_rank") <= wanted)).drop("_rank", "_n")
     return rejection.unionByName(chosen)
 
 
@@ -56,9 +59,22 @@ def preference_pairs(attempts: DataFrame, key: str, order: str, good: Column, pr
     return later.where(~F.col("_good") & F.col("_chosen").isNotNull()).select(key, order, F.col(prompt).alias("prompt"), F.col("_chosen").alias("chosen"), F.col(answer).alias("rejected"))
 
 
-def training_config(role: str, data_path: str, soft_labels: bool, base_model: str = "base") -> dict:
+def training_config(role: str, data_path: str, output: str, soft_labels: bool, base_model: str = "base") -> dict:
     """A configuration for an adapter's training; divergence only weighs in with soft labels."""
-    return {"base_model": base_model, "role": role, "datasets": [{"path": data_path, "type": "sharegpt"}], "sequence_len": 2048, "kl_divergence_weight": 0.5 if soft_labels else 0.0}
+    own = {"base_model": base_model, "datasets": [{"path": data_path, "type": "sharegpt", "conversation": "chatml"}], "dataset_prepared_path": f"{output}/prepared_{role}_rejection", "output_dir": f"{output}/{role}-rejection-v1"}
+    return own | TRAINING_CONFIG | ({"kl_divergence_weight": SOFT_LABEL_WEIGHT} if soft_labels else {})
+
+
+def write_config(config: dict, path: str) -> None:
+    """One small YAML file for a tool outside Spark, written by the driver; JSON, which is YAML too, where no YAML library is there."""
+    try:
+        import yaml
+    except ImportError:
+        text = json.dumps(config, indent=2)
+    else:
+        text = yaml.safe_dump(config, sort_keys=False)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
 
 
-__all__ = ["kl_divergence", "mix", "mix_by_role", "preference_pairs", "rejection_samples", "role_summary", "training_config"]
+__all__ = ["kl_divergence", "mix", "mix_by_role", "preference_pairs", "rejection_samples", "role_summary", "training_config", "write_config"]

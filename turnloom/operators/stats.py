@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import floor_round, upper_median
+from ..functions.text import floor_round, values_at_ranks
 from .validate import coverage, full_text, short_commands
 
 
@@ -63,7 +65,7 @@ def report(samples: DataFrame, issues: list[str] = ()) -> dict:
     """All parts as one dictionary: the driver's view of a few aggregated rows."""
     facts = sample_facts(samples)
     stats = dataset_stats(facts).first().asDict()
-    med = facts.agg(upper_median(F.when(F.col("quality_score") != 0, F.col("quality_score"))).alias("median_quality")).first()[0]
+    med = values_at_ranks(facts.where("quality_score != 0"), "quality_score", {"median_quality": 0.5}).first()[0]
     used = {r.command: r.n for r in command_frequency(samples, None).collect()}
     out = {
         "stats": stats | {"median_quality": med}, "role_distribution": {r.role: r.n for r in counts(facts, "role").collect()}, "source_distribution": {r.source: r.n for r in counts(facts, "source").collect()},
@@ -75,14 +77,27 @@ def report(samples: DataFrame, issues: list[str] = ()) -> dict:
     return out
 
 
+_SHARES = (("collect more", 5), ("dominates", 50))
+
+
+def balance(df: DataFrame, *columns: str) -> DataFrame:
+    """(kind, name, n, advice) of the values of each column: under 5 percent collect more, over 50 it dominates."""
+    out = None
+    for c in columns:
+        part = df.groupBy(F.col(c).alias("name")).agg(F.count("*").alias("n")).select(F.lit(c).alias("kind"), "name", "n")
+        out = part if out is None else out.unionByName(part)
+    share = F.col("n") * 100 / F.sum("n").over(Window.partitionBy("kind"))
+    return out.withColumn("advice", F.when(share < _SHARES[0][1], _SHARES[0][0]).when(share > _SHARES[1][1], _SHARES[1][0]).otherwise("balanced"))
+
+
 def recommendations(found: dict, issues: list[str]) -> list[str]:
     """What to improve: roles under 5 or over 50 percent, low quality, few tool calls, no completed workflow, issues, few commands."""
     total, out = sum(found["role_distribution"].values()) or 1, []
     for role, n in found["role_distribution"].items():
         share = 100 * n / total
-        if share < 5:
+        if share < _SHARES[0][1]:
             out.append(f"collect more {role} samples ({share:.1f}%)")
-        elif share > 50:
+        elif share > _SHARES[1][1]:
             out.append(f"{role} dominates the dataset ({share:.1f}%)")
     mean = found["stats"]["mean_quality"]
     if mean is not None and mean < 0.5:
@@ -111,3 +126,14 @@ def to_markdown(found: dict) -> str:
             lines.append(str(value))
         lines.append("")
     return "\n".join(lines)
+
+
+def to_json(found: dict) -> str:
+    return json.dumps(found, indent=2, default=str)
+
+
+def to_console(found: dict) -> str:
+    """The report as short lines: counts first, advice last."""
+    lines = [f"{k}: {v}" for k, v in found["stats"].items()]
+    lines += [f"role {k}: {v}" for k, v in found["role_distribution"].items()]
+    return "\n".join(lines + [f"advice: {x}" for x in found["recommendations"]])

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.fixed import NOISE_LINES, RESULT_CHARS, RESULT_MARK, RESULT_MARK_ROOM
+from ..functions.fixed import NOISE_LINES, RESULT_BLOCK as _BLOCK, RESULT_CHARS, RESULT_MARK, RESULT_MARK_ROOM
 from ..functions.text import strip
 
-_BLOCK = r"(?s)(<tool_result[^>]*>)\n(.*?)\n</tool_result>"
-
 
 def clean_result(body: Column) -> Column:
     noise = "|".join(NOISE_LINES)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fixed import ANTI_PATTERNS, COVERAGE, REQUIRED_COMMANDS, SUSPICIOUS_COMMANDS, WORKFLOWS
-from ..functions.text import contains_any, names_where, strip
+from ..functions.fixed import ANTI_PATTERNS, BD_COMMAND, COVERAGE, GIT_COMMAND, GT_COMMAND, REQUIRED_COMMANDS, SUSPICIOUS_COMMANDS, WHOLE_COMMANDS, WORKFLOWS
+from ..functions.text import contains_any, names_where, starts_any, strip
+from ..sources.lines import json_lines
+
+
+_MESSAGES = "array<struct<from:string,value:string>>"
 
 
 def structure_errors(msgs: Column) -> Column:
@@ -37,13 +41,33 @@ def totals(errors: DataFrame, column: str = "errors") -> DataFrame:
     return errors.agg(F.count("*").alias("total"), F.count_if(F.size(column) == 0).alias("valid"), F.coalesce(F.sum(F.size(column)), F.lit(0)).alias("errors"))
 
 
+def numbered_errors(lines: DataFrame, k: int | None = None) -> DataFrame:
+    """(source_path, line_no from 1, error) of JSON lines that are no JSON or break the structure of a sample; the first ``k`` of each file.
+
+    ``lines`` as ``sources.lines.read_lines`` gives them.
+    """
+    rows = json_lines(lines).withColumn("conversations", F.from_json(F.get_json_object("line", "$.conversations"), _MESSAGES))
+    errors = F.when(F.try_parse_json("line").isNull(), F.array(F.lit("invalid JSON"))).otherwise(structure_errors(F.when(F.col("is_valid"), F.col("conversations"))))
+    out = rows.select("source_path", (F.col("line_no") + 1).alias("line_no"), F.posexplode(errors).alias("place", "error"))
+    if k is not None:
+        out = out.withColumn("_rank", F.row_number().over(Window.partitionBy("source_path").orderBy("line_no", "place"))).where(F.col("_rank") <= k).drop("_rank")
+    return out.drop("place")
+
+
+def file_totals(lines: DataFrame) -> DataFrame:
+    """source_path, total, valid and errors of JSON-lines files; blank lines do not count."""
+    bad = numbered_errors(lines).groupBy("source_path", "line_no").agg(F.count("*").alias("n"))
+    bad = bad.groupBy("source_path").agg(F.count("*").alias("_bad"), F.sum("n").alias("errors"))
+    return lines.groupBy("source_path").agg(F.count("*").alias("total")).join(bad, "source_path", "left").select("source_path", "total", (F.col("total") - F.coalesce("_bad", F.lit(0))).alias("valid"), F.coalesce("errors", F.lit(0)).alias("errors"))
+
+
 def commands(text: Column) -> Column:
     """Commands in order: all of gt, then bd, then git. ``gt mail``, ``gt mol`` and ``gt handoff`` keep all their words, others two."""
     two = lambda c: F.array_join(F.slice(F.split(c, r"(?U)\s+"), 1, 2), " ")
-    gt = F.regexp_extract_all(text, F.lit(r"(?U)gt\s+\w+(?:\s+\w+)*"), 0)
-    gt = F.transform(gt, lambda c: F.when(c.startswith("gt mail") | c.startswith("gt mol") | c.startswith("gt handoff"), c).otherwise(two(c)))
-    bd = F.transform(F.regexp_extract_all(text, F.lit(r"(?U)bd\s+\w+(?:\s+\w+)*"), 0), two)
-    git = F.transform(F.regexp_extract_all(text, F.lit(r"(?U)git\s+\w+(?:\s+[\w\-]+)*"), 0), two)
+    gt = F.regexp_extract_all(text, F.lit("(?U)" + GT_COMMAND), 0)
+    gt = F.transform(gt, lambda c: F.when(starts_any(c, WHOLE_COMMANDS), c).otherwise(two(c)))
+    bd = F.transform(F.regexp_extract_all(text, F.lit("(?U)" + BD_COMMAND), 0), two)
+    git = F.transform(F.regexp_extract_all(text, F.lit("(?U)" + GIT_COMMAND), 0), two)
     return F.concat(gt, bd, git)
 
 
@@ -89,7 +113,7 @@ def check_sample(msgs: Column, role: Column, hallucinated: bool = False) -> Colu
     many = F.transform(F.filter(F.transform(msgs, lambda m, i: F.struct(m.alias("m"), i.alias("i"))), lambda x: (x.m["from"] == "human") & (F.size(commands(x.m.value)) > 2)), lambda x: F.concat(F.lit("human message "), x.i.cast("string"), F.lit(" contains many commands")))
     warnings = F.concat(F.array_compact(F.array(missing)), many)
     if hallucinated:
-        odd = F.filter(found, lambda c: c.startswith(SUSPICIOUS_COMMANDS[0]) | c.startswith(SUSPICIOUS_COMMANDS[1]) | c.startswith(SUSPICIOUS_COMMANDS[2]) | c.startswith(SUSPICIOUS_COMMANDS[3]))
+        odd = F.filter(found, lambda c: starts_any(c, SUSPICIOUS_COMMANDS))
         warnings = F.concat(warnings, F.transform(odd, lambda c: F.concat(F.lit("possibly hallucinated command: "), c)))
     errors = F.transform(faults, lambda f: F.concat(F.lit("anti-pattern detected: "), f))
     return F.struct(F.array_distinct(found).alias("commands_found"), workflows(text).alias("workflows_detected"), errors.alias("errors"), warnings.alias("warnings"), (F.size(faults) == 0).alias("is_valid"))
@@ -104,8 +128,6 @@ def _any_of(found: Column, needed: tuple[str, ...]) -> Column:
 
 def summary(checked: DataFrame) -> DataFrame:
     """(kind, name, n) of roles, commands (30 most frequent), workflows and anti-patterns over rows of role and check."""
-    from pyspark.sql import Window
-
     def counted(kind: str, column: Column) -> DataFrame:
         return checked.select(F.explode(column).alias("name")).groupBy("name").agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "name", "n")
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import chat, chunks, quality, roles, score, scrub, select, tool_text
+from ..sources.lines import read_json, write_json
 
 
 @dataclass(frozen=True)
@@ -53,6 +54,49 @@ def stats(made: DataFrame, final: DataFrame) -> DataFrame:
     return before.unionByName(final.groupBy(F.col("split").alias("stage"), "role").agg(F.count("*").alias("n")))
 
 
+def run_stats(sessions: DataFrame, made: DataFrame, final: DataFrame) -> DataFrame:
+    """(kind, name, n) of a whole run: sessions, turns, linked ones and runtimes; samples and secrets before deduplication, by
+    role too; samples after it, duplicates removed, and roles of the training part.
+    """
+    linked = score.has_signals(F.col("otel_signals")) if "otel_signals" in sessions.columns else F.lit(False)
+    named = lambda df, *names: df.select(F.explode(F.array(*(F.struct(F.lit("total").alias("kind"), F.lit(n).alias("name"), F.coalesce(n, F.lit(0)).cast("long").alias("n")) for n in names))).alias("x")).select("x.*")
+    by = lambda df, kind, column: df.groupBy(F.coalesce(column, F.lit("unknown")).alias("name")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "name", "n")
+    parts = [
+        named(sessions.agg(F.count("*").alias("sessions"), F.sum(F.size("turns")).alias("turns"), F.count_if(linked).alias("linked")), "sessions", "turns", "linked"),
+        by(sessions, "runtime", F.col("runtime_type")),
+        named(made.agg(F.count("*").alias("samples"), F.sum("secrets").alias("secrets")), "samples", "secrets"),
+        by(made, "role", F.col("metadata.role")),
+        named(final.agg(F.count("*").alias("kept"), F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "val").alias("val")), "kept", "train", "val"),
+        by(final.where("split = 'train'"), "train role", F.col("role")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    removed = out.agg((F.sum(F.when(F.col("name") == "samples", F.col("n"))) - F.sum(F.when(F.col("name") == "kept", F.col("n")))).alias("n"))
+    return out.unionByName(removed.select(F.lit("total").alias("kind"), F.lit("duplicates removed").alias("name"), "n"))
+
+
+RAW = "session_id string, source_path string, num_turns int, runtime_type string, mcp_servers array<string>, role string, otel_signals struct<exit_type:string,status:string,topic:string,duration_ms:bigint,fallback_source:string,role:string,actor:string>"
+
+
+def raw_sessions(sessions: DataFrame) -> DataFrame:
+    """What is kept of extracted sessions for another look: no turns, but how many there were."""
+    signals = F.col("otel_signals") if "otel_signals" in sessions.columns else F.lit(None).cast(RAW.split("otel_signals ")[1])
+    role = F.col("role") if "role" in sessions.columns else F.lit("unknown")
+    return sessions.select("session_id", "source_path", F.size("turns").alias("num_turns"), "runtime_type", "mcp_servers", role.alias("role"), signals.alias("otel_signals"))
+
+
+def score_raw(raw: DataFrame) -> DataFrame:
+    """Adds outcome_score to raw sessions. Without turns only signals tell one from another."""
+    none = F.array().cast("array<struct<from:string,value:string>>")
+    return raw.withColumn("outcome_score", score.quality_score(none, F.coalesce("role", F.lit("unknown")), F.col("otel_signals")))
+
+
+def score_only(spark: SparkSession, folder: str) -> None:
+    """Reads raw sessions that an earlier run left in a folder and writes them with scores; fails if there are none."""
+    write_json(score_raw(read_json(spark, f"{folder}/raw_sessions", RAW)), f"{folder}/raw_sessions_scored")
+
+
 def write(final: DataFrame, path: str) -> None:
     """JSON lines by split and role."""
     final.select("conversations", "metadata", "split", "role").write.mode("overwrite").partitionBy("split", "role").json(path)

@@ -1,4 +1,4 @@
-"""Registered queries over the tables, each through the operators of this package, with SQL that gives the same rows."""
+"""Registered queries over the tables, through the operators of this package (q15 and the lengths: through built-in functions), with SQL that gives the same rows."""
 
 from __future__ import annotations
 
@@ -31,9 +31,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def _turns(spark: SparkSession, sf_dir: str, keep: str = "true") -> DataFrame:
-    """conv_id and turns of every conversation, in order; tables have no tool calls."""
-    rows = _table(spark, sf_dir, "conversations").where(keep)
+def _turns(spark: SparkSession, sf_dir: str, role: Column | None = None) -> DataFrame:
+    """conv_id and turns of every conversation, in order, with other roles if they are given; tables have no tool calls."""
+    rows = _table(spark, sf_dir, "conversations")
+    rows = rows if role is None else rows.withColumn("role", role)
     none_calls, none_results = F.array().cast("array<struct<id:string,name:string>>"), F.array().cast("array<struct<tool_use_id:string>>")
     turn = F.struct("turn", "role", F.col("text").alias("content"))
     listed = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
@@ -74,30 +75,51 @@ def q03_dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.dataset_stats(facts).select("total_samples", "min_turns", "max_turns", "mean_turns", F.col("median_turns").cast("double").alias("median_turns"), "min_chars", "max_chars", "total_chars", "approx_tokens")
 
 
-@query("""
-    WITH k AS (SELECT * FROM conversations WHERE turn % 3 <> 1 AND role <> 'system'),
-    m AS (SELECT conv_id, turn, role, CASE WHEN role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 0 ELSE 1 END AS starts FROM k),
-    i AS (SELECT conv_id, turn, role, sum(starts) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM m),
-    a AS (SELECT conv_id, max(island) AS islands, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role FROM i GROUP BY conv_id),
-    f AS (SELECT conv_id, islands - (first_role = 'assistant')::INT - (last_role = 'user')::INT AS n FROM a)
-    SELECT conv_id, CAST(CASE WHEN n > 0 THEN n + 1 ELSE 0 END AS INTEGER) AS n_messages FROM f
-""")
+_ERRORS = """
+    m AS (SELECT conv_id, CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS side, text, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS n, lag(CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END) OVER w AS before
+          FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+    e AS (
+        SELECT conv_id, 0 AS place, 'fewer than two messages' AS error FROM m WHERE n < 2
+        UNION ALL SELECT conv_id, 0, 'first message is not system' FROM m WHERE n >= 2 AND pos = 1 AND side <> 'system'
+        UNION ALL SELECT conv_id, 1, 'last message is not gpt' FROM m WHERE n >= 2 AND pos = n AND side <> 'gpt'
+        UNION ALL SELECT conv_id, 3 * pos, 'message ' || (pos - 1) || ': empty value' FROM m WHERE n >= 2 AND trim(text) = ''
+        UNION ALL SELECT conv_id, 3 * pos + 1, 'message ' || (pos - 1) || ': expected ' || CASE WHEN before = 'human' THEN 'gpt' ELSE 'human' END FROM m WHERE n >= 2 AND pos > 1 AND side <> CASE WHEN before = 'human' THEN 'gpt' ELSE 'human' END
+    )
+"""
+
+
+def _chat_sql(rows: str, prompt: str, both: bool) -> str:
+    """Messages of (conv_id, turn, role, text), merged and alternating, under a prompt: their number and a hash of their texts."""
+    return f"""
+        WITH k AS ({rows}), m AS (SELECT *, CASE WHEN role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 0 ELSE 1 END AS starts FROM k WHERE role <> 'system'),
+        i AS (SELECT *, sum(starts) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM m),
+        g AS (SELECT conv_id, island, any_value(role) AS role, string_agg(text, chr(10) ORDER BY turn) AS value FROM i GROUP BY conv_id, island),
+        e AS (SELECT *, max(island) OVER (PARTITION BY conv_id) AS last FROM g),
+        f AS (SELECT * FROM e WHERE NOT (island = 1 AND role = 'assistant') AND NOT (island = last AND role = 'user')),
+        a AS (SELECT conv_id, count(*) AS n, count(*) FILTER (role = 'user') AS u, string_agg(CASE role WHEN 'user' THEN 'human' ELSE 'gpt' END || ':' || value, '|' ORDER BY island) AS said FROM f GROUP BY conv_id)
+        SELECT c.conv_id, CAST(CASE WHEN n > 0 THEN n + 1 ELSE 0 END AS INTEGER) AS n_messages, sha256(coalesce('system:' || {prompt} || '|' || said, '')) AS hash FROM (SELECT DISTINCT conv_id FROM k) c LEFT JOIN a ON a.conv_id = c.conv_id{" WHERE u > 0 AND n > u" if both else ""}
+    """
+
+
+def _said(msgs: Column) -> Column:
+    return F.sha2(F.array_join(F.transform(msgs, lambda m: F.concat(m["from"], F.lit(":"), m.value)), "|"), 256)
+
+
+@query(_chat_sql("SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN 'assistant' ELSE role END AS role, text FROM conversations", f"'{chat.DEFAULT_PROMPT}'", False))
 def q04_merge_alternate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = _turns(spark, sf_dir, "turn % 3 <> 1 and role <> 'system'")
-    return kept.select("conv_id", F.size(chat.conversation(F.col("turns"), F.lit(chat.DEFAULT_PROMPT))).alias("n_messages"))
+    """All turns; every third is the assistant's, so that neighbours of one side occur."""
+    turns = _turns(spark, sf_dir, F.when(F.col("turn") % 3 == 1, "assistant").otherwise(F.col("role")))
+    made = turns.select("conv_id", chat.conversation(F.col("turns"), F.lit(chat.DEFAULT_PROMPT)).alias("m"))
+    return made.select("conv_id", F.size("m").alias("n_messages"), _said(F.col("m")).alias("hash"))
 
 
-@query("""
-    WITH m AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS side, text,
-                      row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
-    p AS (SELECT *, lag(side) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM m),
-    e AS (SELECT conv_id, n,
-                 (pos = 1 AND side <> 'system')::INT + (pos = n AND side <> 'gpt')::INT + (trim(text) = '')::INT
-                 + (pos > 1 AND side <> CASE WHEN before = 'human' THEN 'gpt' ELSE 'human' END)::INT AS bad FROM p)
-    SELECT conv_id, CAST(CASE WHEN max(n) < 2 THEN 1 ELSE sum(bad) END AS INTEGER) AS n_errors FROM e GROUP BY conv_id
+@query(f"""
+    WITH {_ERRORS}
+    SELECT c.conv_id, CAST(count(error) AS INTEGER) AS n_errors, coalesce(string_agg(error, '|' ORDER BY place), '') AS errors FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN e ON e.conv_id = c.conv_id GROUP BY c.conv_id
 """)
 def q05_structure_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _turns(spark, sf_dir).select("conv_id", F.size(validate.structure_errors(_with_system(F.col("turns")))).alias("n_errors"))
+    errors = validate.structure_errors(_with_system(F.col("turns")))
+    return _turns(spark, sf_dir).select("conv_id", errors.alias("e")).select("conv_id", F.size("e").alias("n_errors"), F.array_join("e", "|").alias("errors"))
 
 
 @query("""
@@ -228,16 +250,18 @@ def q13_outcome_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    WITH l AS (SELECT user_id, event_type, lead(event_type, 1) OVER w AS n1, lead(event_type, 2) OVER w AS n2, lead(event_type, 3) OVER w AS n3, lead(event_type, 4) OVER w AS n4 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
-    SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'click' AND n1 = 'view') AS good,
-           count(*) FILTER (event_type = 'click' AND n1 = 'error' AND (n2 = 'purchase' OR n3 = 'purchase' OR n4 = 'purchase')) AS recovered FROM l GROUP BY user_id
+    WITH l AS (SELECT user_id, event_type, lead(event_type, 1) OVER w AS n1, lead(event_type, 2) OVER w AS n2, lead(event_type, 3) OVER w AS n3, lead(event_type, 4) OVER w AS n4 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+    c AS (SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'click' AND n1 IN ('view', 'signup')) AS good,
+                 count(*) FILTER (event_type = 'click' AND n1 = 'error' AND (n2 = 'purchase' OR n3 = 'purchase' OR n4 = 'purchase')) AS recovered FROM l GROUP BY user_id)
+    SELECT user_id, n, floor((0.7::DOUBLE * (good / n) + 0.3::DOUBLE * (recovered / n)) * 1000000 + 0.5::DOUBLE) / 1000000 AS score FROM c
 """)
 def q14_lookahead(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    ahead = _table(spark, sf_dir, "events").select("user_id", "event_type", *(F.lead("event_type", k).over(w).alias(f"n{k}") for k in (1, 2, 3, 4)))
-    click, no = F.col("event_type") == "click", F.lit(False)
-    again = F.coalesce(F.col("n2") == "purchase", no) | F.coalesce(F.col("n3") == "purchase", no) | F.coalesce(F.col("n4") == "purchase", no)
-    return ahead.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(click & (F.col("n1") == "view")).alias("good"), F.count_if(click & (F.col("n1") == "error") & again).alias("recovered"))
+    """A user's events as messages: clicks are calls, errors failed results, purchases retries, others good results."""
+    kind = F.col("event_type")
+    side = F.when(kind.isin("click", "purchase"), "gpt").otherwise("human")
+    value = F.when(kind == "click", "tool_use_id").when(kind == "error", "It FAILED").when(kind == "purchase", "Retry").otherwise("fine")
+    said = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", side.alias("from"), value.alias("value")))).alias("m"))
+    return said.select("user_id", F.size("m").cast("long").alias("n"), floor_round(score.turn_score(F.col("m")), 6).alias("score"))
 
 
 _FAMILIES = (("license", r"(?i)licen[sc]ed? under"), ("address", r"[A-Za-z0-9.]+@[A-Za-z0-9-]+\.[a-z]+"), ("number", r"[0-9]{16}"), ("secret", r"(?i)token = "))
@@ -263,10 +287,7 @@ def q16_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT kind, name, n, CASE WHEN n * 100 < 5 * total THEN 'collect more' WHEN n * 100 > 50 * total THEN 'dominates' ELSE 'balanced' END AS advice FROM t
 """)
 def q17_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    both = docs.groupBy(F.col("lang").alias("name")).agg(F.count("*").alias("n")).select(F.lit("lang").alias("kind"), "name", "n").unionByName(docs.groupBy(F.col("source").alias("name")).agg(F.count("*").alias("n")).select(F.lit("source").alias("kind"), "name", "n"))
-    total = F.sum("n").over(Window.partitionBy("kind"))
-    return both.withColumn("total", total).select("kind", "name", "n", F.when(F.col("n") * 100 < 5 * F.col("total"), "collect more").when(F.col("n") * 100 > 50 * F.col("total"), "dominates").otherwise("balanced").alias("advice"))
+    return stats.balance(_table(spark, sf_dir, "documents"), "lang", "source")
 
 
 @query("""
@@ -274,9 +295,10 @@ def q17_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT user_id, count(*) AS loops FROM l WHERE event_type = a AND a = b GROUP BY user_id
 """)
 def q18_error_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("event_id")
-    back = _table(spark, sf_dir, "events").select("user_id", "event_type", F.lag("event_type", 1).over(w).alias("a"), F.lag("event_type", 2).over(w).alias("b"))
-    return back.where("event_type = a and a = b").groupBy("user_id").agg(F.count("*").alias("loops"))
+    """The last three events at each place, as turns."""
+    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(-2, 0)
+    back = _table(spark, sf_dir, "events").select("user_id", F.collect_list(F.struct(F.concat(F.lit(" "), "event_type", F.lit("\n")).alias("content"))).over(w).alias("turns"))
+    return back.where(quality.is_error_loop(F.col("turns"))).groupBy("user_id").agg(F.count("*").alias("loops"))
 
 
 @query("""
@@ -339,11 +361,11 @@ def q22c_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evals.failures(_results(spark, sf_dir))
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k, true AS parsed FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 5 <> 4 THEN json_extract_string(props, '$.k') END AS k, event_id % 5 <> 4 AS parsed FROM events")
 def q23_json_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Objects are found whole, after a word, and between words."""
+    """Objects are found whole, after a word, and between words; cut ones are not."""
     n = F.col("event_id") % 3
-    text = F.when(n == 0, F.col("props")).when(n == 1, F.concat(F.lit("answer: "), F.col("props"))).otherwise(F.concat(F.lit("I think "), F.col("props"), F.lit(" is it.")))
+    text = F.when(F.col("event_id") % 5 == 4, F.substring("props", 1, 3)).when(n == 0, F.col("props")).when(n == 1, F.concat(F.lit("answer: "), F.col("props"))).otherwise(F.concat(F.lit("I think "), F.col("props"), F.lit(" is it.")))
     found = evals.parse_json_output(text)
     return _table(spark, sf_dir, "events").select("event_id", F.get_json_object(found, "$.k").alias("k"), found.isNotNull().alias("parsed"))
 
@@ -419,14 +441,18 @@ def _formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "benchmark").select(F.concat(F.lit("f"), i.cast("string")).alias("formula"), kind.alias("type"), F.lit("text").alias("description"), F.when(i % 6 == 0, 0).otherwise(1).alias("version"), steps.alias("steps"), var.alias("vars"), F.lit(None).cast("string").alias("error"))
 
 
-@query("""
-    WITH f AS (SELECT item_id AS i FROM benchmark), x AS (
+_FORMULA_FAULTS = """f AS (SELECT item_id AS i FROM benchmark), x AS (
         SELECT i, 'high' AS severity, 'missing required field: version' AS issue FROM f WHERE i % 6 = 0
         UNION ALL SELECT i, 'medium', 'invalid formula type: expansion' FROM f WHERE i % 7 = 0
         UNION ALL SELECT i, 'low', 'step missing acceptance criteria' FROM f, (SELECT unnest([1, 2, 3])) WHERE i % 3 = 0
         UNION ALL SELECT i, 'high', 'duplicate step id: a' FROM f WHERE i % 4 = 0
         UNION ALL SELECT i, 'medium', 'step references unknown dependency: ' || CASE WHEN i % 5 = 0 THEN 'z' ELSE 'b' END FROM f WHERE i % 5 = 0 OR i % 4 = 0
         UNION ALL SELECT i, 'low', 'variable required but has default' FROM f WHERE i % 2 = 0)
+"""
+
+
+@query(f"""
+    WITH {_FORMULA_FAULTS}
     SELECT 'f' || i AS formula, severity, issue, count(*) AS n FROM x GROUP BY ALL
 """)
 def q28_formula_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -478,12 +504,13 @@ def q31_patrol_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT conv_id, CAST((contains(lower(string_agg(text, chr(10))), 'tion'))::INT + 0 AS INTEGER) AS matched, 2 AS total FROM conversations GROUP BY conv_id
+    SELECT conv_id, CAST(contains(lower(string_agg(text, chr(10))), 'tion')::INT + (conv_id % 3 = 0)::INT + regexp_matches(string_agg(text, chr(10) ORDER BY turn), '(?is)the.*and.*of')::INT AS INTEGER) AS matched, 3 AS total FROM conversations GROUP BY conv_id
 """)
 def q32_behaviours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One loose behaviour and one that needs a command that no conversation holds."""
+    """A word, three words in order, and a command that every third conversation holds."""
     said = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x.text), "\n").alias("response"))
-    rows = said.select(F.lit("r").alias("role"), F.col("conv_id").alias("scenario"), "response", F.array(F.lit("TION"), F.lit("Runs gt hook first")).alias("expected_behaviors"))
+    said = said.withColumn("response", F.when(F.col("conv_id") % 3 == 0, F.concat("response", F.lit("\nGT HOOK"))).otherwise(F.col("response")))
+    rows = said.select(F.lit("r").alias("role"), F.col("conv_id").alias("scenario"), "response", F.array(F.lit("TION"), F.lit("Runs gt hook first"), F.lit("the and of more")).alias("expected_behaviors"))
     return evals.behaviour_scores(rows).select(F.col("scenario").alias("conv_id"), F.col("matched").cast("int").alias("matched"), F.col("total").cast("int").alias("total"))
 
 
@@ -514,24 +541,31 @@ def q35_first_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evals.first_assistant(_table(spark, sf_dir, "conversations"), "conv_id", "turn").select("conv_id", "turn")
 
 
-@query()
+def _drawn_tools() -> str:
+    some, so_far, cases = synth.chosen("both"), 0.0, ""
+    for t in some[:-1]:
+        so_far += t[2]
+        cases += f" WHEN u * {sum(x[2] for x in some)}::DOUBLE < {so_far}::DOUBLE THEN '{t[3]}'"
+    return f"""
+        WITH d AS (SELECT CAST('0x' || sha256('42:template:' || range)[1:8] AS BIGINT) / 4294967296::DOUBLE AS u FROM range(10000))
+        SELECT CASE{cases} ELSE '{some[-1][3]}' END AS tool, count(*) AS n FROM d GROUP BY 1
+    """
+
+
+@query(_drawn_tools())
 def q36_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hash-drawn templates can't be drawn in SQL alike; a test holds their shares and counts."""
+    """Templates drawn by hashes, which SQL draws alike."""
     return synth.tool_distribution(synth.generate(spark, 10_000))
 
 
-@query("""
-    WITH h AS (SELECT conv_id, count(*) AS n, count(*) FILTER (role = 'user') AS u, count(*) FILTER (role = 'assistant') AS a,
-                      arg_min(role, turn) FILTER (role <> 'system') AS first_role, arg_max(role, turn) FILTER (role <> 'system') AS last_role FROM conversations GROUP BY conv_id)
-    SELECT conv_id, CAST(u + a - (first_role = 'assistant')::INT - (last_role = 'user')::INT + 1 AS INTEGER) AS n_messages FROM h WHERE u - (last_role = 'user')::INT > 0 AND a - (first_role = 'assistant')::INT > 0
-""")
+@query(_chat_sql("SELECT conv_id, turn, role, text FROM conversations", f"CASE WHEN c.conv_id % 2 = 0 THEN '{chat.DEFAULT_PROMPT}' ELSE 'You coordinate.' END", True))
 def q37_chat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations through prompts, formatting and the filter for both sides."""
     none = F.lit(None)
     rows = _turns(spark, sf_dir).select("turns", F.when(F.col("conv_id") % 2 == 0, "crew").otherwise("mayor").alias("role"), F.col("conv_id").cast("string").alias("session_id"), F.lit(0).alias("chunk_index"), F.lit(0.5).alias("quality_score"), F.lit("claudecode").alias("runtime_type"), F.array().cast("array<string>").alias("mcp_servers"), none.cast("double").alias("outcome_score"))
-    prompts = spark.createDataFrame([("mayor", "You coordinate.")], "role string, prompt string")
+    prompts = spark.createDataFrame([("mayor", "You coordinate."), ("mayor", "You do not.")], "role string, prompt string")
     made = chat.format_samples(chat.with_prompts(rows, prompts))
-    return made.select(F.col("metadata.session_id").cast("long").alias("conv_id"), F.size("conversations").alias("n_messages"))
+    return made.select(F.col("metadata.session_id").cast("long").alias("conv_id"), F.size("conversations").alias("n_messages"), _said(F.col("conversations")).alias("hash"))
 
 
 @query("""
@@ -578,3 +612,6 @@ def q42_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     first = roles.first_user_text(F.col("turns"))
     return _turns(spark, sf_dir).select("conv_id", F.size(F.filter("turns", lambda t: t.role == "user")).alias("n_user"), first.alias("first_user"), roles.tag_role(F.lit("-home"), first).alias("role"))
+
+
+from . import session_queries as _more  # noqa: E402, F401

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -21,16 +22,30 @@ def json_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("is_valid", F.coalesce(F.schema_of_variant(F.try_parse_json("line")).startswith("OBJECT"), F.lit(False)))
 
 
-def discover(lines: DataFrame, folder_prefix: str = "") -> DataFrame:
-    """Leaves out files named ``sessions-...`` and folders without the prefix; adds file_rank, newest file first (ties by path)."""
-    from pyspark.sql import Window
+def discover(lines: DataFrame, folder_prefix: str = "", most: int | None = None) -> DataFrame:
+    """Leaves out files named ``sessions-...`` and folders without the prefix; adds file_rank, newest file first (ties by path), and
+    if asked for only the ``most`` newest files.
 
+    Of the files, which are few against the lines, one row each is ranked; the ranks go to the lines by a join that
+    Spark broadcasts while the list is small.
+    """
     kept = lines.where(~F.col("file_name").startswith("sessions-") & F.col("folder").startswith(folder_prefix))
-    files = kept.select("source_path", "file_mtime").distinct()
+    files = kept.groupBy("source_path").agg(F.max("file_mtime").alias("file_mtime"))
     ranked = files.withColumn("file_rank", F.row_number().over(Window.orderBy(F.desc("file_mtime"), "source_path")))
+    ranked = ranked if most is None else ranked.where(F.col("file_rank") <= most)
     return kept.join(ranked.select("source_path", "file_rank"), "source_path")
 
 
+def read_existing(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``read_json``, but no rows where there is no such path."""
+    try:
+        return read_json(spark, path, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines by a declared schema; lines that don't parse give nulls."""
     return spark.read.schema(schema).json(path)

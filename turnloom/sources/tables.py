@@ -47,6 +47,17 @@ def telemetry(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.coalesce(get("gt.session"), get("session_id")).alias("session_id"), get("_msg").alias("message"), get("_time").alias("time"), get("exit_type").alias("exit_type"), get("status").alias("status"), get("gt.topic").alias("topic"), get("gt.issue").alias("issue"), get("_stream").alias("stream"), F.struct("source_path", "line_no").alias("ordinal"))
 
 
+METRICS = "status string, data struct<resultType:string,result:array<struct<metric:map<string,string>,value:array<string>,values:array<array<string>>>>>"
+
+
+def metrics(spark: SparkSession, path: str) -> DataFrame:
+    """name, labels, time and value of saved answers of a metrics server, one JSON object a file or line, instants and ranges; failed answers give no rows."""
+    rows = json_lines(read_lines(spark, path)).where("is_valid").select(F.from_json("line", METRICS).alias("a")).where("a.status = 'success'")
+    each = rows.select(F.explode("a.data.result").alias("r"))
+    points = each.select(F.col("r.metric").alias("labels"), F.explode(F.concat(F.coalesce("r.values", F.array().cast("array<array<string>>")), F.when(F.col("r.value").isNotNull(), F.array("r.value")).otherwise(F.array().cast("array<array<string>>")))).alias("p"))
+    return points.select(F.try_element_at("labels", F.lit("__name__")).alias("name"), "labels", F.timestamp_seconds(F.col("p")[0].cast("double")).alias("time"), F.col("p")[1].try_cast("double").alias("value"))
+
+
 def local_log(spark: SparkSession, path: str, *fields: str) -> DataFrame:
     """session_id, line_no and fields of a local JSON-lines log; bad lines are left out."""
     rows = json_lines(read_lines(spark, path)).where("is_valid")

@@ -92,6 +92,38 @@ def sessions(rec: DataFrame) -> DataFrame:
     return facts.withColumn("runtime_type", runtime).join(grouped, "source_path").where(F.size("turns") > 0)
 
 
+def event_sessions(lines: DataFrame) -> DataFrame:
+    """Sessions of the second transcript format, where a header line names session and folder and each message is an event:
+    the same columns as ``sessions``, so both can be one union.
+
+    Users' content is a text; assistants' a list of text and toolCall blocks, with thinking left out; a toolResult is a user
+    turn with one result, wrapped as in the first format.
+    """
+    get = lambda path: F.get_json_object("line", path)
+    rows = json_lines(lines).where("is_valid").select(
+        "source_path", "folder", "line_no", *[c for c in ("file_rank",) if c in lines.columns], get("$.type").alias("type"), F.coalesce(get("$.id"), F.lit("")).alias("uuid"), F.coalesce(get("$.timestamp"), F.lit("")).alias("timestamp"), get("$.cwd").alias("cwd"),
+        get("$.message.role").alias("side"), get("$.message.content").alias("content"), F.coalesce(get("$.message.toolCallId"), F.lit("")).alias("call_id"), F.coalesce(get("$.message.isError") == "true", F.lit(False)).alias("is_error"),
+    )
+    blocks = F.when(F.col("content").startswith("["), _blocks(F.col("content"))).otherwise(F.array().cast("array<string>"))
+    said = rows.where("type = 'message' and side in ('user', 'assistant', 'toolResult')").withColumn("blocks", blocks)
+    call = lambda b: F.struct(_text(b, "id").alias("id"), _text(b, "name").alias("name"), F.coalesce(F.get_json_object(b, "$.arguments"), F.lit("{}")).alias("input"), F.lit("standard").alias("source"), F.lit("").alias("mcp_server")).cast(_CALL)
+    texts = F.transform(F.filter("blocks", lambda b: _text(b, "type") == "text"), lambda b: _text(b, "text"))
+    body = F.when(F.size("blocks") > 0, F.array_join(texts, "\n")).otherwise(F.col("content"))
+    shown = F.filter(F.transform(F.filter("blocks", lambda b: _text(b, "type").isin("text", "toolCall")), lambda b: F.when(_text(b, "type") == "text", strip(_text(b, "text"))).otherwise(format_call(call(b)))), lambda x: x != "")
+    result = F.concat(F.lit('<tool_result tool_use_id="'), F.col("call_id"), F.lit('">\n'), body, F.lit("\n</tool_result>"))
+    content = F.when(F.col("side") == "user", F.when(strip(body) != "", body)).when(F.col("side") == "assistant", F.when(F.size(shown) > 0, F.array_join(shown, "\n"))).otherwise(result)
+    calls = F.when(F.col("side") == "assistant", F.transform(F.filter("blocks", lambda b: _text(b, "type") == "toolCall"), call)).otherwise(F.array().cast(f"array<{_CALL}>"))
+    results = F.when(F.col("side") == "toolResult", F.array(F.struct(F.col("call_id").alias("tool_use_id"), body.alias("content"), F.col("is_error").alias("is_error")).cast(_RESULT))).otherwise(F.array().cast(f"array<{_RESULT}>"))
+    turns = said.select("source_path", "line_no", F.when(F.col("side") == "assistant", "assistant").otherwise("user").alias("role"), content.alias("content"), calls.alias("tool_calls"), results.alias("tool_results"), "timestamp", "uuid").where("content is not null")
+    listed = F.array_sort(F.collect_list(F.struct("line_no", "role", "content", "tool_calls", "tool_results", "timestamp", "uuid")))
+    grouped = turns.groupBy("source_path").agg(F.transform(listed, lambda t: t.dropFields("line_no")).alias("turns"))
+    head = lambda c: F.coalesce(F.min_by(c, F.when(F.col("type") == "session", F.col("line_no"))), F.lit(""))
+    ranks = [F.min("file_rank").alias("file_rank")] if "file_rank" in rows.columns else []
+    talk = F.col("side").isin("user", "assistant", "toolResult")
+    facts = rows.groupBy("source_path", "folder").agg(head("uuid").alias("session_id"), head("cwd").alias("cwd"), F.count("*").alias("total_records"), F.count_if(talk).alias("conversation_records"), *ranks)
+    return facts.withColumns({"mcp_servers": F.array().cast("array<string>"), "runtime_type": F.lit("events")}).join(grouped, "source_path")
+
+
 def read_sessions(spark: SparkSession, base: str, folder_prefix: str = "") -> DataFrame:
     """All sessions under ``base``/<folder>/<file>.jsonl, with file_rank, newest first."""
     return sessions(records(discover(read_lines(spark, f"{base}/*/*.jsonl"), folder_prefix)))

@@ -47,6 +47,13 @@ def windowed_counts(events: DataFrame, time_column: str, size: str, slide: str |
     return events.withWatermark(time_column, delay).groupBy(span, *keys).agg(F.count("*").alias("n"))
 
 
+def retrain_stream(samples: DataFrame, known: DataFrame, share: float = 0.1) -> DataFrame:
+    """role, new, known, due for a stream of samples with a role, as they add up against the known ones (static: role, known); for update or complete mode."""
+    new = samples.groupBy("role").agg(F.count("*").alias("new"))
+    both = new.join(known, "role", "left").withColumn("known", F.coalesce("known", F.lit(0)))
+    return both.withColumn("due", (F.col("known") == 0) | (F.col("new") >= F.lit(share) * F.col("known")))
+
+
 def retrain_due(new: int, known: int, share: float = 0.1) -> bool:
     """Whether new samples make up at least ``share`` of the known ones (described only)."""
     return known == 0 or new / known >= share
