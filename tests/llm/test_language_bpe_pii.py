@@ -280,3 +280,36 @@ def test_counts_over_a_million_keep_their_order():
     assert counts.max() > 2**20
     own = codes[np.lexsort((codes, -counts))].tolist()
     assert language_id.Profiles({"q": own}).predict([text, "a"])[2][0] == 0
+
+
+def test_bpe_of_repeated_rows_clashing_columns_and_an_empty_table(spark, reference):
+    df = spark.createDataFrame([(1, "to be", 5, "x"), (1, "to be", 5, "x"), (None, None, 5, "x")], "doc_id long, text string, n_tokens int, ids_sha256 string")
+    got = byte_bpe.encode_digests(df, RANKS, public_tokenizers.PATTERN).collect()
+    want = reference.encode_ordinary("to be")
+    assert sorted((r.doc_id or 0, r.n_tokens, r.ids_sha256) for r in got) == [(0, 0, sha(""))] + [(1, len(want), sha(" ".join(map(str, want))))] * 2
+    empty = df.limit(0)
+    assert byte_bpe.encode_digests(empty, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert byte_bpe.decode_documents(byte_bpe.encode_documents(empty, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_the_cache_of_pieces_is_bounded_in_bytes(reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 4000)
+    coder = byte_bpe.Encoder(open(RANKS, "rb").read(), public_tokenizers.PATTERN)
+    for i in range(60):
+        text = f"{'word' * 30}{i} other"
+        assert coder.encode_text(text) == reference.encode_ordinary(text)
+        assert 8 * sum(map(len, coder.cache)) <= 4000
+
+
+def test_added_spans_on_the_tables_are_planted_secrets_only(spark):
+    """Every assigned token is found whole, and nothing else is added to what the patterns find."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    planted = re.compile(r'token = "([0-9a-f]{40})"')
+    found = wanted = 0
+    for r in docs:
+        base = pii.base_spans(r.text)
+        got = {(s, e) for _, s, e in pii.model().choose(r.text, base)}
+        want = {m.span(1) for m in planted.finditer(r.text)}
+        assert got == want
+        found, wanted = found + len(got), wanted + len(want)
+    assert found == wanted > 5

@@ -22,12 +22,13 @@ from itertools import chain, islice
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._words import mix
 
-LONG, RUN, CACHE = 256, 1 << 16, 800_000
+LONG, RUN, CACHE, CACHE_BYTES = 256, 1 << 16, 800_000, 64 << 20
 #: Characters of text encoded together.
 GROUP_CHARS = 1 << 20
 _NONE = np.int32(2**31 - 1)
@@ -81,6 +82,7 @@ class Encoder:
         self.joined = {(a, b): i for a, b, i in splits}
         self.pattern = regex.compile(pattern)
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.held = 0  # about how many bytes the cache holds
 
     def _matrix(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of pieces of at most LONG bytes, of about one length."""
@@ -144,9 +146,11 @@ class Encoder:
         """Puts the ids of all pieces into the cache."""
         wanted = set(pieces)
         new = [p for p in wanted if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE:
+        self.held += 8 * sum(map(len, new))
+        if len(self.cache) + len(new) > CACHE or self.held > CACHE_BYTES:
             self.cache.clear()
             new = list(wanted)
+            self.held = 8 * sum(map(len, new))
         buckets: dict[int, list[tuple[str, bytes]]] = {}
         for p in new:
             raw = p.encode()
@@ -229,13 +233,18 @@ def _digests(coder: Encoder, texts: list[str]) -> Iterator[tuple[int, str, str]]
     yield from flush()
 
 
-def encode_digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document; the rank file is read here and sent to the workers."""
+def _sent(spark: SparkSession, rank_path: str) -> Broadcast[bytes]:
+    """The rank file, read by the driver and sent to each executor once; some hundred kilobytes."""
     with open(rank_path, "rb") as f:
-        rank_file = f.read()
+        return spark.sparkContext.broadcast(f.read())
+
+
+def encode_digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    rank_file = _sent(docs.sparkSession, rank_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(rank_file, pattern)
+        coder = encoder(rank_file.value, pattern)
         for batch in batches:
             rows = list(_digests(coder, batch.column("text").to_pylist()))
             n, ids, decoded = zip(*rows) if rows else ((), (), ())
@@ -247,11 +256,10 @@ def encode_digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
 
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """doc_id and ids (array<int>) of every document."""
-    with open(rank_path, "rb") as f:
-        rank_file = f.read()
+    rank_file = _sent(docs.sparkSession, rank_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(rank_file, pattern)
+        coder = encoder(rank_file.value, pattern)
         for batch in batches:
             ids = [coder.encode_text(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -262,11 +270,10 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame
 
 def decode_documents(encoded: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """doc_id and text (binary, as ids need not make up whole characters) of rows of doc_id and ids; null ids: empty."""
-    with open(rank_path, "rb") as f:
-        rank_file = f.read()
+    rank_file = _sent(encoded.sparkSession, rank_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(rank_file, pattern)
+        coder = encoder(rank_file.value, pattern)
         for batch in batches:
             texts = [coder.decode(ids or ()) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])

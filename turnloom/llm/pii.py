@@ -311,7 +311,7 @@ _models: list[Model] = []
 
 
 def model() -> Model:
-    """Trained once in each process; the same everywhere."""
+    """Trained once, by the driver; the trees, some kilobytes, go with the tasks."""
     if not _models:
         _models.append(Model())
     return _models[0]
@@ -335,8 +335,9 @@ def find_pii(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and, if asked for, redacted (null for a null text)."""
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string" + ", redacted string" * with_text
 
+    chooser = model()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chooser = model()
         names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
             rows = []
@@ -355,8 +356,9 @@ def find_pii(docs: DataFrame, with_text: bool = False) -> DataFrame:
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents themselves, all columns in their order, with every span in the text replaced by its kind."""
 
+    chooser = model()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chooser = model()
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
