@@ -100,6 +100,11 @@ def parse_json_output(text: Column) -> Column:
 
 def parse_decision(text: Column) -> Column:
     """STRUCT<tool, args, source>: an object with a tool (or name, or action), a tool_call tag, a tool's name on a line of its own, or a gt command; null if none."""
+    # bound to a variable, so that a long expression for the text is worked out once
+    return F.transform(F.array(text), _decision)[0]
+
+
+def _decision(text: Column) -> Column:
     def from_object(candidate: Column, needs_tool: bool, source: str) -> Column:
         obj = _json_object(candidate)
         tool = F.get_json_object(obj, "$.tool") if needs_tool else _tool_of(obj)
