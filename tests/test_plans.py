@@ -34,3 +34,10 @@ def test_prompts_are_broadcast_and_first_rows_combined(spark):
     assert "BroadcastHashJoin" in plan(chat.with_prompts(rows, prompts))
     first = plan(select.keep_first(spark.range(9).withColumn("k", F.col("id") % 3), F.col("k"), "id"))
     assert "partial_min" in first and "Window" not in first
+
+
+def test_many_prompts_are_joined_and_a_repeated_role_makes_no_rows(spark, monkeypatch):
+    rows, prompts = spark.createDataFrame([("a",), ("b",)], "role string"), spark.createDataFrame([("a", "q"), ("a", "p")], "role string, prompt string")
+    few = sorted(map(tuple, chat.with_prompts(rows, prompts, "d").collect()))
+    monkeypatch.setattr(chat, "FEW", 1)
+    assert sorted(map(tuple, chat.with_prompts(rows, prompts, "d").collect())) == few == [("a", "p"), ("b", "d")]

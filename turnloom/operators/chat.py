@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Prompts that are few enough to broadcast.
+FEW = 1000
 DEFAULT_PROMPT = "You are an agent. You use command-line tools to accomplish software engineering tasks."
 
 
@@ -51,9 +53,11 @@ def has_both_sides(msgs: Column) -> Column:
 def with_prompts(df: DataFrame, prompts: DataFrame, default: str = DEFAULT_PROMPT) -> DataFrame:
     """Adds ``prompt`` by role, the default for roles without one; of a role that is there twice the smallest prompt counts.
 
-    Spark broadcasts ``prompts`` (role, prompt) while it is small.
+    Up to ``FEW`` prompts go to every task; more are joined as a table.
     """
-    return df.join(prompts.groupBy("role").agg(F.min("prompt").alias("prompt")), "role", "left").withColumn("prompt", F.coalesce("prompt", F.lit(default)))
+    named = prompts.groupBy("role").agg(F.min("prompt").alias("prompt"))
+    named = F.broadcast(named) if prompts.limit(FEW + 1).count() <= FEW else named
+    return df.join(named, "role", "left").withColumn("prompt", F.coalesce("prompt", F.lit(default)))
 
 
 def format_samples(chunks: DataFrame, source: str = "claude-session") -> DataFrame:
