@@ -10,7 +10,7 @@ larger one every member is compared with the smallest member, its pivot, and kee
 Where a pivot then has members outside its class, these are compared with its other members, chunk by chunk and
 exactly, from the items in which both differ from the pivot; a row is made for each member and other class it is linked
 to, not for each pair. So no bucket is cut short, and copies cost one row each. A large star is met in parts of about
-``STAR`` members, each with a copy of the pivot's text; hashes that a large share of all rows holds go to every task.
+``STAR`` members, each with a copy of the pivot's text; hashes of texts that a large share of all rows holds go to every task.
 
 With 32 bands of 5 registers a pair at similarity 0.8 shares no band with a chance of 3e-6; one of a small bucket is
 estimated under ``ESTIMATE``, and then not verified, with about 1e-6.
@@ -268,8 +268,8 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
     copies = _with_counted(signed.select("key", "exact1", "exact2"), firsts, ["exact1", "exact2"], signed.count()).select("key", "first").distinct().checkpoint()
     distinct = signed.join(copies.where("key = first").select("key"), "key", "left_semi").dropDuplicates(["key"]).select("key", "bands", "registers").checkpoint()
     exploded = distinct.select("key", F.explode("bands").alias("band"))
-    sizes = exploded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).where("n > 1").checkpoint()
-    members = _with_counted(exploded, sizes, ["band"], BANDS * distinct.count()).checkpoint()
+    sizes = exploded.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).where("n > 1")
+    members = exploded.join(sizes, "band").checkpoint()
     pairs_of = lambda rows: rows.where("key != pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b"))
     small = members.where(F.col("n") <= SMALL)
     within = small.where("n > 2").select("band", F.col("key").alias("a")).join(small.where("n > 2").select("band", F.col("key").alias("b")), "band").where("a < b").select("a", "b")
@@ -284,15 +284,15 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY) -> D
 
     # where members of a larger bucket are outside the class of its smallest: these against all that can be near them
     of = lambda side, name: labels.select(F.col("node").alias(side), F.col("component").alias(name))
-    groups = compared.join(of("b", "component"), "b", "left").join(_spread(of("a", "main"), compared), _AT, "left").withColumn("component", F.coalesce("component", "b")).withColumn("outside", F.col("component") != F.coalesce("main", "a"))
+    groups = compared.join(of("b", "component"), "b", "left").join(of("a", "main"), "a", "left").withColumn("component", F.coalesce("component", "b")).withColumn("outside", F.col("component") != F.coalesce("main", "a"))
     mixed = groups.where("outside").groupBy("a").agg(F.max("similarity").alias("nearest"))
     # distances obey the triangle inequality: a link reaches members at most 1 - similarity nearer to the pivot
     reach = F.col("outside") | (F.col("similarity") <= F.col("nearest") + (1 - similarity) + 1e-9)
-    open_groups = groups.join(_spread(mixed, compared), _AT).where(reach).checkpoint()
+    open_groups = groups.join(mixed, "a").where(reach).checkpoint()
     if open_groups.limit(1).count():
         size = F.greatest(F.ceil(F.count("*") / F.lit(CHUNK)), F.ceil(F.sum(F.octet_length("apart")) / F.lit(CHUNK_BYTES)))
         chunks = open_groups.groupBy("a").agg(size.cast("int").alias("chunks"))
-        chunked = open_groups.join(_spread(chunks, open_groups), _AT).withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
+        chunked = open_groups.join(chunks, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
         others = _blocks(chunked).select("a", F.col("chunk").alias("meets"), *(F.col(c).alias(f"o_{c}") for c in _PARTS))
         asked = _blocks(chunked.where("outside")).join(chunks, "a").withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         more = asked.join(others, ["a", "meets"]).select("n_a", *_PARTS, *(f"o_{c}" for c in _PARTS)).mapInArrow(_across(similarity), "a long, b long").distinct()
